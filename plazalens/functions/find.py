@@ -97,7 +97,8 @@ def fuzzy_find_all(c: Column, pattern: str) -> Column:
 def remove_hits(c: Column, hits: Column) -> Column:
     """The text without the found strings, taken out in one left-to-right pass."""
     quoted = F.transform(hits, lambda h: F.concat(F.lit("\\Q"), h, F.lit("\\E")))
-    return F.when(F.size(hits) > 0, F.regexp_replace(c, F.array_join(quoted, "|"), F.lit(""))).otherwise(c)
+    # no hits make an empty pattern, which changes nothing
+    return F.regexp_replace(c, F.array_join(quoted, "|"), F.lit(""))
 
 
 def keyword_hits(c: Column, words: list[str]) -> Column:

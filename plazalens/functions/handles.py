@@ -64,7 +64,11 @@ def replace_handles(c: Column, tokens: list[str], token_of) -> Column:
 def matched_handles(c: Column, tokens: list[str], token_of) -> Column:
     """Struct of the handles each token replaced, in text order, and under ``USER`` whatever was left."""
     segments = _segments(c)
-    fields = [F.filter(segments, lambda s, t=t: token_of(_handle(s)) == t).alias(t) for t in tokens]
+
+    def of(token: str):
+        return lambda s: token_of(_handle(s)) == F.lit(token)
+
+    fields = [F.filter(segments, of(t)).alias(t) for t in tokens]
     swapped = F.array_join(F.transform(segments, lambda s: F.coalesce(token_of(_handle(s)), s)), "")
     rest = F.regexp_extract_all(swapped, F.lit(f"@[^{SPACE}]+"), F.lit(0)).alias(OTHER_TOKEN)
     return F.struct(*fields, rest)

@@ -49,6 +49,15 @@ def let(c: Column, body) -> Column:
     return F.transform(F.array(c), body)[0]
 
 
+def computed_once(flag: Column) -> Column:
+    """``flag`` unchanged, but opaque to predicate pushdown.
+
+    A filter on a computed flag is pushed below the projection by copying the whole computation into the filter, which
+    then runs twice or more. Catalyst leaves a non-deterministic column where it is; ``rand() >= 0`` always holds.
+    """
+    return flag & (F.rand(0) >= 0)
+
+
 def _replace_all(c: Column, pairs: dict[str, str]) -> Column:
     for old, new in pairs.items():
         c = F.replace(c, F.lit(old), F.lit(new))

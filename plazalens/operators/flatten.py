@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plazalens.functions.find import keyword_hits
-from plazalens.functions.text import clean_text, hashtags
+from plazalens.functions.text import clean_text, computed_once, hashtags
 from plazalens.functions.times import parse_created_at
 from plazalens.operators.dims import LITERAL_ROWS, small_rows
 from plazalens.operators.seeds import prefixed, seed_tests
@@ -122,7 +122,7 @@ def _target_columns(
         .withColumn("directed_at_f", directed_f.cast("int"))
         .withColumn("directed_at_m", directed_m.cast("int"))
         .withColumn("hashtags", hashtags(F.col("text")))
-        .withColumn("valid", F.when(mention_target, True).otherwise(keyword_target))
+        .withColumn("valid", computed_once(F.when(mention_target, True).otherwise(keyword_target)))
         .select(*TIDY.names)
     )
 

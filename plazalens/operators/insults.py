@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plazalens.functions.find import find_all, first_hit, first_names, fuzzy_find_all, remove_hits
+from plazalens.functions.text import computed_once
 from plazalens.operators.dictionary import Dictionary
 
 
@@ -23,11 +24,12 @@ def _search(posts: DataFrame, text: Column, dictionary: Dictionary, mode: str) -
     )
     female_only = (F.size("fiu_insults") > 0) & (F.size("m_seed") == 0)
     kept = F.coalesce((F.size("female_insults") > 0) | female_only, F.lit(False))
-    return found.withColumn("_kept", kept).drop("_expressions", "_cut")
+    return found.withColumn("_kept", computed_once(kept)).drop("_expressions", "_cut")
 
 
-def _abusive() -> Column:
-    return (F.col("insults_search") != "") & (F.col("abuse") == 1)
+def _with_hit(posts: DataFrame, hit: Column) -> DataFrame:
+    marked = posts.withColumn("insults_search", hit)
+    return marked.withColumn("_hit", computed_once(F.col("insults_search") != "")).where("_hit").drop("_hit")
 
 
 def extract_insults(posts: DataFrame, dictionary: Dictionary, mode: str = "auto") -> DataFrame:
@@ -37,7 +39,7 @@ def extract_insults(posts: DataFrame, dictionary: Dictionary, mode: str = "auto"
     so only that share of the posts meets the costlier steps.
     """
     hit = first_hit(F.col("text_clean"), dictionary.insults_all)
-    abusive = posts.withColumn("insults_search", hit).where(_abusive())
+    abusive = _with_hit(posts.where(F.col("abuse") == 1), hit)
     kept = _search(abusive, F.col("text_clean"), dictionary, mode).where("_kept").drop("_kept")
     return kept.withColumn("insults_name", first_names(F.col("fiu_insults"), dictionary.entries))
 
@@ -49,7 +51,7 @@ def with_insult_names(posts: DataFrame, dictionary: Dictionary, mode: str = "aut
     """
     hit = first_hit(F.col("text_clean"), dictionary.insults_all)
     marked = posts.withColumn("insults_search", hit).withColumn(
-        "_searched", F.when(_abusive(), F.col("text_clean"))
+        "_searched", F.when((F.col("abuse") == 1) & (F.col("insults_search") != ""), F.col("text_clean"))
     )
     found = _search(marked, F.col("_searched"), dictionary, mode)
     names = F.when(F.col("_kept"), first_names(F.col("fiu_insults"), dictionary.entries))
@@ -60,10 +62,11 @@ def extract_male_insults(posts: DataFrame, dictionary: Dictionary, mode: str = "
     """The mirror rule for male insults: any post with a male pattern left once the excluded expressions are out."""
     hit = first_hit(F.col("text_clean"), dictionary.insults_male)
     return (
-        posts.withColumn("insults_search", hit)
-        .where(F.col("insults_search") != "")
+        _with_hit(posts, hit)
         .withColumn("not_m", find_all(F.col("text_clean"), dictionary.expressions, mode))
         .withColumn("text_filtered", remove_hits(F.lower("text_clean"), F.col("not_m")))
         .withColumn("male_insults", find_all(F.col("text_filtered"), dictionary.insults_male, mode))
-        .where(F.size("male_insults") > 0)
+        .withColumn("_kept", computed_once(F.size("male_insults") > 0))
+        .where("_kept")
+        .drop("_kept")
     )

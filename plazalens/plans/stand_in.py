@@ -4,11 +4,14 @@ Every view here is a plain projection or join over whole tables, so work on it g
 by Spark and by the check engine alike; ``{orders}`` and the like stand for the tables.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.schemas import SEEDS
-from plazalens.sources.posts import parse_lines
+from plazalens.session import shared_dir
+from plazalens.sources.posts import read_posts
 
 VIEWS = {
     "tw": """select o_orderkey id, o_custkey user_id,
@@ -33,8 +36,8 @@ VIEWS = {
                 ' https://t.example/', doc_id, ' &amp; x') text from {documents}""",
     # a dictionary: one pattern per part type and size class, in order of first part
     "dict": """select lower(p_type) || (p_size % 3) regex3, min(p_partkey) ord,
-                 case min(p_size % 8) when 0 then 'FS' when 1 then 'FP' when 2 then 'US' when 3 then 'IS' else 'Exclude' end
-                   target,
+                 case (min(p_partkey) + min(p_size)) % 6 when 0 then 'FS' when 1 then 'MP' when 2 then 'US' when 3 then 'MS'
+                   when 4 then 'IP' else 'Exclude' end target,
                  case when min(p_size) % 2 = 0 then 'F' else 'M' end gender, min(p_name) orig_name
                from {part} group by lower(p_type) || (p_size % 3)""",
 }
@@ -96,8 +99,8 @@ def _entities(*handles: F.Column) -> F.Column:
     return F.struct(F.transform(named, lambda h: F.struct(h.alias("screen_name"))).alias("user_mentions"))
 
 
-def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON line per order; see ``POSTS_SQL`` in the check texts for the same rules as a table."""
+def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested post per order, field by field as the feed has them; the check texts state the same rules as a table."""
     orders = spread(load(spark, sf_dir, "orders")[0], "o_orderkey")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     author = F.concat(F.lit("User"), c)
@@ -123,7 +126,7 @@ def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             _user(k % 50 + 5000, F.concat(F.lit("Quoted"), k % 50)).alias("user"),
             F.when(k % 2 == 0, F.lit("short quote")).alias("text"),
             F.when(k % 2 == 1, F.lit("full quote")).alias("full_text"),
-            F.when(k % 18 == 0, F.struct(F.concat(F.lit("long quote "), k).alias("full_text"))).alias("extended_tweet"),
+            F.when(k % 36 == 0, F.struct(F.concat(F.lit("long quote "), k).alias("full_text"))).alias("extended_tweet"),
         ),
     )
     rt_quoted = F.when(
@@ -152,28 +155,49 @@ def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ts = F.expr("o_orderdate + (o_orderkey % 24) * interval '1' hour + interval '7' minute")
     return orders.select(
-        F.to_json(
-            F.struct(
-                k.alias("id"),
-                k.cast("string").alias("id_str"),
-                F.date_format(ts, "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"),
-                F.lit("es").alias("lang"),
-                F.when(k % 2 == 0, own).alias("text"),
-                F.when(k % 2 == 1, own).alias("full_text"),
-                extended.alias("extended_tweet"),
-                entities.alias("entities"),
-                _user(c, author).alias("user"),
-                reply_id.alias("in_reply_to_user_id"),
-                F.when(reply_id.isNotNull(), F.concat(F.lit("seed"), k % 150)).alias("in_reply_to_screen_name"),
-                F.when(reply_id.isNotNull(), k - 1).alias("in_reply_to_status_id"),
-                F.when(k % 20 == 0, F.struct(F.lit("UY").alias("country"))).alias("place"),
-                quoted.alias("quoted_status"),
-                retweeted.alias("retweeted_status"),
-            )
-        ).alias("line"),
-        k.alias("key"),
+        k.alias("id"),
+        k.cast("string").alias("id_str"),
+        F.date_format(ts, "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"),
+        F.lit("es").alias("lang"),
+        F.when(k % 2 == 0, own).alias("text"),
+        F.when(k % 2 == 1, own).alias("full_text"),
+        extended.alias("extended_tweet"),
+        entities.alias("entities"),
+        _user(c, author).alias("user"),
+        reply_id.alias("in_reply_to_user_id"),
+        F.when(reply_id.isNotNull(), F.concat(F.lit("seed"), k % 150)).alias("in_reply_to_screen_name"),
+        F.when(reply_id.isNotNull(), k - 1).alias("in_reply_to_status_id"),
+        F.when(k % 20 == 0, F.struct(F.lit("UY").alias("country"))).alias("place"),
+        quoted.alias("quoted_status"),
+        retweeted.alias("retweeted_status"),
     )
 
 
+def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts as a feed of JSON text."""
+    rows = post_rows(spark, sf_dir)
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("line"), F.col("id").alias("key"))
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The posts as raw JSON-lines files in the shared folder, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        folder = f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+        post_rows(spark, sf_dir).write.json(folder)
+        _written[key] = folder
+    return _written[key]
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, as the hourly run does between its stages."""
+    folder = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(post_lines(spark, sf_dir), "line")
+    return read_posts(spark, raw_folder(spark, sf_dir))

@@ -1,84 +1,91 @@
 """Schemas of every input and output table."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+_TEXT, _INT, _LONG, _FLAG, _TIME = StringType(), IntegerType(), LongType(), BooleanType(), TimestampNTZType()
+_TEXTS = ArrayType(_TEXT)
+
+
+def _struct(*texts: str, **others: DataType) -> StructType:
+    """Text fields, then the others."""
+    fields = [(t, _TEXT) for t in texts] + list(others.items())
+    return StructType([StructField(name, kind) for name, kind in fields])
+
 
 # Field names and nesting of the feed. Ids are read as strings, so that no 64-bit id loses digits.
-_USER = "struct<id:string,screen_name:string>"
-_ENTITIES = "struct<user_mentions:array<struct<screen_name:string>>>"
-_EXTENDED = f"struct<full_text:string,entities:{_ENTITIES}>"
-_QUOTED = f"struct<user:{_USER},text:string,full_text:string,extended_tweet:struct<full_text:string>>"
-_RETWEETED = (
-    f"struct<id:string,user:{_USER},text:string,full_text:string,extended_tweet:{_EXTENDED},entities:{_ENTITIES},"
-    "in_reply_to_user_id:string,in_reply_to_screen_name:string,in_reply_to_status_id:string,"
-    f"quoted_status:{_QUOTED}>"
+_USER = _struct("id", "screen_name")
+_ENTITIES = _struct(user_mentions=ArrayType(_struct("screen_name")))
+_EXTENDED = _struct("full_text", entities=_ENTITIES)
+_REPLY = ("in_reply_to_user_id", "in_reply_to_screen_name", "in_reply_to_status_id")
+_QUOTED = _struct("text", "full_text", user=_USER, extended_tweet=_struct("full_text"))
+_RETWEETED = _struct(
+    "id", "text", "full_text", *_REPLY,
+    user=_USER, extended_tweet=_EXTENDED, entities=_ENTITIES, quoted_status=_QUOTED,
 )
 CORRUPT = "_corrupt"
 
-POST = StructType.fromDDL(
-    "id string, id_str string, id_num bigint, date string, datetime string, created_at string, lang string,"
-    f"text string, full_text string, extended_tweet {_EXTENDED}, entities {_ENTITIES}, user {_USER},"
-    "in_reply_to_user_id string, in_reply_to_screen_name string, in_reply_to_status_id string,"
-    f"place string, quoted_status {_QUOTED}, retweeted_status {_RETWEETED}, {CORRUPT} string"
+POST = _struct(
+    "id", "id_str", "date", "datetime", "created_at", "lang", "text", "full_text", *_REPLY, "place", CORRUPT,
+    id_num=_LONG, extended_tweet=_EXTENDED, entities=_ENTITIES, user=_USER, quoted_status=_QUOTED,
+    retweeted_status=_RETWEETED,
 )
 # The feed's second, flat form
-FLAT_POST = StructType.fromDDL(
-    f"id bigint, text string, author_id bigint, created_at string, date string, datetime string, {CORRUPT} string"
-)
+FLAT_POST = _struct("text", "created_at", "date", "datetime", CORRUPT, id=_LONG, author_id=_LONG)
 
 # Dimensions. ``ord`` is the row order of the source file, which decides pages and first matches.
-SEEDS = StructType.fromDDL(
-    "user_id string, screen_name string, screen_name_orig string, updated string, Genero string, Tipo string,"
-    "Twitter string, Nombre string, followers_count int, friends_count int, ord bigint"
-)
-KEYWORDS = StructType.fromDDL("word string, ord bigint")
-INSULTS = StructType.fromDDL("regex3 string, target string, gender string, orig_name string, ord bigint")
-CATEGORIES = StructType.fromDDL(
-    "Insulto string, Insulto_gendered string, `Categoría` string, `Subcategoría` string"
+SEEDS = _struct(
+    "user_id", "screen_name", "screen_name_orig", "updated", "Genero", "Tipo", "Twitter", "Nombre",
+    followers_count=_INT, friends_count=_INT, ord=_LONG,
 )
+KEYWORDS = _struct("word", ord=_LONG)
+INSULTS = _struct("regex3", "target", "gender", "orig_name", ord=_LONG)
+CATEGORIES = _struct("Insulto", "Insulto_gendered", "Categoría", "Subcategoría")
 
 # Outputs
-TIDY = StructType.fromDDL(
-    "id string, screen_name string, user_id string, text string, text_clean string, rt_from_screen_name string,"
-    "rt_from_user_id string, rt_from_id string, qt_from_screen_name string, qt_status string,"
-    "in_reply_to_screen_name string, in_reply_to_user_id string, in_reply_to_status_id string,"
-    "mentions array<string>, f_seed array<string>, m_seed array<string>, directed_at_f int, directed_at_m int,"
-    "hashtags array<string>, datetime timestamp_ntz, location string, tweet_type string, keywords array<string>,"
-    "valid boolean"
+TIDY = _struct(
+    "id", "screen_name", "user_id", "text", "text_clean", "rt_from_screen_name", "rt_from_user_id", "rt_from_id",
+    "qt_from_screen_name", "qt_status", "in_reply_to_screen_name", "in_reply_to_user_id", "in_reply_to_status_id",
+    mentions=_TEXTS, f_seed=_TEXTS, m_seed=_TEXTS, directed_at_f=_INT, directed_at_m=_INT, hashtags=_TEXTS,
+    datetime=_TIME, location=_TEXT, tweet_type=_TEXT, keywords=_TEXTS, valid=_FLAG,
 )
 # What the detection stage adds to a tidy post
-FOUND = StructType.fromDDL(
-    "replaced_text string, abuse int, insults_search string, not_f array<string>, text_filtered string,"
-    "female_insults array<string>, fiu_insults array<string>, insults_name array<string>"
+FOUND = _struct(
+    replaced_text=_TEXT, abuse=_INT, insults_search=_TEXT, not_f=_TEXTS, text_filtered=_TEXT, female_insults=_TEXTS,
+    fiu_insults=_TEXTS, insults_name=_TEXTS,
 )
+
+
+def _counts(*keys: str, counts: str) -> StructType:
+    return _struct(Hour=_TIME, **dict.fromkeys(keys, _TEXT), **dict.fromkeys(counts.split(), _LONG))
+
+
 SUMMARIES = {
-    "raw_data": StructType.fromDDL(
-        "id string, text string, datetime timestamp_ntz, user_id string, keywords array<string>, valid boolean"
-    ),
-    "mentions_and_abuse_summary": StructType.fromDDL(
-        "Hour timestamp_ntz, influencer_id string, N_mentions bigint, N_abuse bigint, N_mentions_orig bigint,"
-        "N_mentions_rt bigint, N_abuse_orig bigint, N_abuse_rt bigint"
-    ),
-    "insults_summary": StructType.fromDDL(
-        "Hour timestamp_ntz, influencer_id string, Insults string, N_abuse bigint"
+    "raw_data": _struct("id", "text", datetime=_TIME, user_id=_TEXT, keywords=_TEXTS, valid=_FLAG),
+    "mentions_and_abuse_summary": _counts(
+        "influencer_id", counts="N_mentions N_abuse N_mentions_orig N_mentions_rt N_abuse_orig N_abuse_rt"
     ),
-    "hashtags_summary": StructType.fromDDL(
-        "Hour timestamp_ntz, influencer_id string, Hashtag string, N_hashtags bigint"
-    ),
-    "users_abuse_summary": StructType.fromDDL(
-        "Hour timestamp_ntz, user_id string, N_user bigint, N_user_abuse bigint, N_user_original bigint,"
-        "N_user_rt bigint, N_user_abuse_original bigint, N_user_abuse_rt bigint"
-    ),
-    "subc_summary": StructType.fromDDL(
-        "Hour timestamp_ntz, influencer_id string, `Subcategoría` string, N_abuse bigint"
+    "insults_summary": _counts("influencer_id", "Insults", counts="N_abuse"),
+    "hashtags_summary": _counts("influencer_id", "Hashtag", counts="N_hashtags"),
+    "users_abuse_summary": _counts(
+        "user_id",
+        counts="N_user N_user_abuse N_user_original N_user_rt N_user_abuse_original N_user_abuse_rt",
     ),
+    "subc_summary": _counts("influencer_id", "Subcategoría", counts="N_abuse"),
 }
 DIMENSION_TABLES = {
-    "metadata": StructType.fromDDL(
-        "screen_name string, Nombre string, Tipo string, followers_count int, friends_count int, user_id string"
-    ),
-    "insult_to_group": StructType.fromDDL(
-        "Insulto string, Insulto_gendered string, Categoria string, Subcategoria string"
-    ),
+    "metadata": _struct("screen_name", "Nombre", "Tipo", followers_count=_INT, friends_count=_INT, user_id=_TEXT),
+    "insult_to_group": _struct("Insulto", "Insulto_gendered", "Categoria", "Subcategoria"),
 }
 # Column types for a relational target (``createTableColumnTypes``)
 JDBC_TYPES = {
@@ -91,4 +98,4 @@ JDBC_TYPES = {
     "users_abuse_summary": "user_id VARCHAR(500)",
     "subc_summary": "influencer_id VARCHAR(500), `Subcategoría` VARCHAR(500)",
 }
-FAILURES = StructType.fromDDL("source string, error_msg string, exception string, at timestamp")
+FAILURES = _struct("source", "error_msg", "exception", at=TimestampType())
