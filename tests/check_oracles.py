@@ -70,3 +70,4 @@ if __name__ == "__main__":
             said = f"{type(e).__name__}: {str(e)[:600]}"
         verdict = ("ok" if sqls.get(name) else "rows only") if said is None else "DIFFERS " + said[:900]
         print(f"{name:28} {time.time() - start:6.2f}s {verdict}", flush=True)
+    spark.stop()
