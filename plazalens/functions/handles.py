@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plazalens.functions.text import let
 from plazalens.functions.whitespace import SPACE, char_class
 
 OTHER_TOKEN = "USER"
@@ -52,23 +53,32 @@ def _reprefix(c: Column, tokens: list[str]) -> Column:
     return c
 
 
+def _swap(c: Column, token_of) -> Column:
+    """Known handles replaced; texts without an ``@`` are not taken apart."""
+
+    def swap(s: Column) -> Column:
+        known = token_of(F.lower(F.substring(s, 2, 2**31 - 1)))
+        return F.when(F.startswith(s, F.lit("@")), F.coalesce(known, s)).otherwise(s)
+
+    return F.when(F.contains(c, F.lit("@")), F.array_join(F.transform(_segments(c), swap), "")).otherwise(c)
+
+
 def replace_handles(c: Column, tokens: list[str], token_of) -> Column:
     """Text with handles replaced; ``token_of`` maps a lower-cased handle column to its token or null.
 
     The last step puts the ``@`` back in front of every occurrence of a token, ordinary words included.
     """
-    swapped = F.array_join(F.transform(_segments(c), lambda s: F.coalesce(token_of(_handle(s)), s)), "")
+    swapped = let(c, lambda t: _swap(t, token_of))
     return _reprefix(F.regexp_replace(swapped, f"@[^{SPACE}]+", OTHER_TOKEN), tokens)
 
 
 def matched_handles(c: Column, tokens: list[str], token_of) -> Column:
     """Struct of the handles each token replaced, in text order, and under ``USER`` whatever was left."""
-    segments = _segments(c)
+    segments = F.filter(_segments(c), lambda s: F.startswith(s, F.lit("@")))
 
     def of(token: str):
         return lambda s: token_of(_handle(s)) == F.lit(token)
 
     fields = [F.filter(segments, of(t)).alias(t) for t in tokens]
-    swapped = F.array_join(F.transform(segments, lambda s: F.coalesce(token_of(_handle(s)), s)), "")
-    rest = F.regexp_extract_all(swapped, F.lit(f"@[^{SPACE}]+"), F.lit(0)).alias(OTHER_TOKEN)
+    rest = F.regexp_extract_all(let(c, lambda t: _swap(t, token_of)), F.lit(f"@[^{SPACE}]+"), F.lit(0)).alias(OTHER_TOKEN)
     return F.struct(*fields, rest)

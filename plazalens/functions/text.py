@@ -53,9 +53,9 @@ def computed_once(flag: Column) -> Column:
     """``flag`` unchanged, but opaque to predicate pushdown.
 
     A filter on a computed flag is pushed below the projection by copying the whole computation into the filter, which
-    then runs twice or more. Catalyst leaves a non-deterministic column where it is; ``rand() >= 0`` always holds.
+    then runs twice or more. Catalyst leaves a column alone that reads the partition number, which is never negative.
     """
-    return flag & (F.rand(0) >= 0)
+    return flag & (F.spark_partition_id() >= 0)
 
 
 def _replace_all(c: Column, pairs: dict[str, str]) -> Column:
