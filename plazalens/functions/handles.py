@@ -10,19 +10,35 @@ OTHER_TOKEN = "USER"
 
 # What may stand next to a handle, besides whitespace and the ends of the text
 _EDGE = SPACE + char_class(".,;:!?()-=[]")
+_TO_END = 2**31 - 1
 
 
-def _segments(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(f"[{_EDGE}]+|[^{_EDGE}]+"), F.lit(0))
+def _pieces(c: Column) -> Column:
+    """The text cut in front of every ``@``: (text, handle). ``handle`` is null unless edges enclose it.
 
+    Work grows with the number of ``@`` signs, not with the length of the text.
+    """
+
+    def cut(parts: Column) -> Column:
+        def piece(part: Column, at: Column) -> Column:
+            run = F.regexp_extract(part, f"^[^{_EDGE}]+", 0)
+            before = F.get(parts, at - 1)
+            opens = F.when(before == "", at == 1).otherwise(F.substring(before, -1, 1).rlike(f"[{_EDGE}]"))
+            closes = (run != part) | (at == F.size(parts) - 1)
+            return F.struct(
+                F.when(at > 0, F.concat(F.lit("@"), part)).otherwise(part).alias("text"),
+                F.when((at > 0) & (run != "") & opens & closes, run).alias("handle"),
+            )
 
-def _handle(segment: Column) -> Column:
-    return F.when(F.startswith(segment, F.lit("@")), F.lower(F.substring(segment, 2, 2**31 - 1)))
+        return F.transform(parts, lambda part, at: piece(part, at))
+
+    return let(F.split(c, "@"), cut)
 
 
 def handle_candidates(c: Column) -> Column:
     """Lower-cased handles that stand between edges: the ones a group lookup can hit."""
-    return F.array_distinct(F.filter(F.transform(_segments(c), _handle), lambda h: h.isNotNull()))
+    found = F.transform(_pieces(c), lambda p: F.lower(p["handle"]))
+    return F.array_distinct(F.filter(found, lambda h: h.isNotNull()))
 
 
 class HandleGroups:
@@ -47,20 +63,12 @@ class HandleGroups:
         return out
 
 
-def _reprefix(c: Column, tokens: list[str]) -> Column:
-    for token in [*tokens, OTHER_TOKEN]:
-        c = F.replace(c, F.lit(token), F.lit("@" + token))
-    return c
-
-
 def _swap(c: Column, token_of) -> Column:
-    """Known handles replaced; texts without an ``@`` are not taken apart."""
+    def swap(p: Column) -> Column:
+        rest = F.substring(p["text"], F.char_length(p["handle"]) + 2, F.lit(_TO_END))
+        return F.coalesce(F.concat(token_of(F.lower(p["handle"])), rest), p["text"])
 
-    def swap(s: Column) -> Column:
-        known = token_of(F.lower(F.substring(s, 2, 2**31 - 1)))
-        return F.when(F.startswith(s, F.lit("@")), F.coalesce(known, s)).otherwise(s)
-
-    return F.when(F.contains(c, F.lit("@")), F.array_join(F.transform(_segments(c), swap), "")).otherwise(c)
+    return F.array_join(F.transform(_pieces(c), swap), "")
 
 
 def replace_handles(c: Column, tokens: list[str], token_of) -> Column:
@@ -68,17 +76,19 @@ def replace_handles(c: Column, tokens: list[str], token_of) -> Column:
 
     The last step puts the ``@`` back in front of every occurrence of a token, ordinary words included.
     """
-    swapped = let(c, lambda t: _swap(t, token_of))
-    return _reprefix(F.regexp_replace(swapped, f"@[^{SPACE}]+", OTHER_TOKEN), tokens)
+    out = F.regexp_replace(_swap(c, token_of), f"@[^{SPACE}]+", OTHER_TOKEN)
+    for token in [*tokens, OTHER_TOKEN]:
+        out = F.replace(out, F.lit(token), F.lit("@" + token))
+    return out
 
 
 def matched_handles(c: Column, tokens: list[str], token_of) -> Column:
     """Struct of the handles each token replaced, in text order, and under ``USER`` whatever was left."""
-    segments = F.filter(_segments(c), lambda s: F.startswith(s, F.lit("@")))
+    enclosed = F.filter(_pieces(c), lambda p: p["handle"].isNotNull())
 
-    def of(token: str):
-        return lambda s: token_of(_handle(s)) == F.lit(token)
+    def of(token: str) -> Column:
+        mine = F.filter(enclosed, lambda p: token_of(F.lower(p["handle"])) == F.lit(token))
+        return F.transform(mine, lambda p: F.concat(F.lit("@"), p["handle"]))
 
-    fields = [F.filter(segments, of(t)).alias(t) for t in tokens]
-    rest = F.regexp_extract_all(let(c, lambda t: _swap(t, token_of)), F.lit(f"@[^{SPACE}]+"), F.lit(0)).alias(OTHER_TOKEN)
-    return F.struct(*fields, rest)
+    rest = F.regexp_extract_all(_swap(c, token_of), F.lit(f"@[^{SPACE}]+"), F.lit(0))
+    return F.struct(*[of(t).alias(t) for t in tokens], rest.alias(OTHER_TOKEN))

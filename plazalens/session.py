@@ -22,6 +22,9 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -32,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="plazalens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    key = spark.sparkContext.applicationId
+    if key not in _local_dirs:
+        _local_dirs[key] = tempfile.mkdtemp(prefix="plazalens-")
+    return _local_dirs[key]
