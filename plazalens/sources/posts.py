@@ -1,6 +1,6 @@
 """Raw post sources: JSON lines, plain or gzip, batch or stream."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,10 +48,15 @@ def parse_lines(lines: DataFrame, column: str, schema: StructType = POST) -> Dat
     return lines.select(parsed.alias("_post")).select("_post.*")
 
 
+def _is_post() -> Column:
+    # a JSON scan refuses to read the quarantine column alone, so the test names a second one; the length is never -1
+    return F.col(CORRUPT).isNull() & (F.char_length(F.concat_ws("", F.col("id").cast("string"))) >= 0)
+
+
 def good_posts(posts: DataFrame) -> DataFrame:
-    return posts.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return posts.where(_is_post()).drop(CORRUPT)
 
 
 def bad_lines(posts: DataFrame) -> DataFrame:
     """The quarantine: lines that are not a JSON object."""
-    return posts.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+    return posts.where(~_is_post()).select(F.col(CORRUPT).alias("line"))
