@@ -67,4 +67,42 @@ select page_id, warc_type, '<urn:uuid:' || id || '>' warc_record_id, '<urn:uuid:
 from k
 """
 
-ORACLES = {"op8_urls": op8_urls, "op10_warc": op10_warc}
+_LOWERED = f"translate(coalesce(text, ''), '{_UP}', '{_LOW}')"
+
+op4_neardup = f"""
+with recursive w as (
+  select row_number() over () rid, doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') w from documents),
+s as (
+  select distinct rid, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end g
+  from w, unnest(range(1, greatest(len(w) - 3, 2))) t(i) where len(w) > 0),
+n as (select rid, count(*) n from s group by rid),
+linked as (
+  select a.rid x, b.rid y from s a join s b on a.g = b.g and a.rid < b.rid join n na on na.rid = a.rid join n nb on nb.rid = b.rid
+  group by a.rid, b.rid having 100 * count(*) >= 75 * (any_value(na.n) + any_value(nb.n) - count(*))),
+e as (select x, y from linked union all select y, x from linked),
+reach(rid, other) as (select rid, rid from w union select r.rid, e.y from reach r join e on e.x = r.other),
+c as (select r.rid, min(d.doc_id) component_id from reach r join w d on d.rid = r.other group by r.rid)
+select w.doc_id, cast(coalesce(n.n, 0) as bigint) n_shingles, c.component_id, w.doc_id = c.component_id kept
+from w join c using (rid) left join n using (rid)
+"""
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+op5_decontam = f"""
+with i as (select item_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') w from benchmark where item_id is not null),
+g as (
+  select distinct item_id, least(len(w), 10) n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') g
+  from i, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(p) where len(w) > 0),
+d as (select row_number() over () rid, doc_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') w from documents),
+h as (
+  select rid, p, z.n, array_to_string(w[p:p + z.n - 1], ' ') g
+  from d, (select distinct n from g) z, unnest(range(1, greatest(len(w) - z.n + 2, 1))) t(p)),
+m as (select h.rid, h.p, h.n, g.item_id from h join g on g.n = h.n and g.g = h.g),
+words as (select rid, count(distinct q) n_hit from m, unnest(range(p, p + n)) t(q) group by rid),
+items as (select rid, list_sort(list(distinct cast(item_id as varchar))) items from m group by rid)
+select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit, cast(coalesce(len(items), 0) as bigint) n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from d left join words using (rid) left join items using (rid)
+"""
+
+ORACLES = {"op4_neardup": op4_neardup, "op5_decontam": op5_decontam, "op8_urls": op8_urls, "op10_warc": op10_warc}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazalens.llm import language, mixing, secrets, urls, warc
+from plazalens.llm import decontam, language, mixing, neardup, pii, secrets, urls, warc
 from plazalens.llm.common import count_words, table
 
 # The domain rules of the URL query, and the labels whose pages make up the feed of listed URLs
@@ -14,15 +14,35 @@ URL_RULES = [
     ("block", "net", "/fr/"),
 ]
 LISTED_SITES = "(^|[.])(cheap-pills|casino-win|free-bets|ads-track)[.]"
+# A production run takes its key from a secret store
+PII_KEY = "pseudonyms-2024"
 CRAWL_DATE = "2024-06-01T00:00:00Z"
 
 
+def op1_pii(spark, sf):
+    found = pii.pseudonymised(table(spark, sf, "documents"), PII_KEY, "doc_id")
+    return found.select("doc_id", "text", F.size("found").alias("n_replaced"), F.array_join("found", ",").alias("kinds"))
+
+
 def op3_mixing(spark, sf):
     docs = table(spark, sf, "documents")
     mixed = mixing.mix(docs, count_words(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken"), "repeats")
 
 
+def op4_neardup(spark, sf):
+    return neardup.near_duplicates(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op5_decontam(spark, sf):
+    found = decontam.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id")
+    items = F.col("items")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_language(spark, sf):
     docs = table(spark, sf, "documents")
     found = language.identify(docs, language.fit(docs), "doc_id")
@@ -46,4 +66,4 @@ def op10_warc(spark, sf):
     return warc.derivatives(warc.responses_of_pages(table(spark, sf, "pages"), CRAWL_DATE), "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op7_language, op8_urls, op9_secrets, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_mixing, op4_neardup, op5_decontam, op7_language, op8_urls, op9_secrets, op10_warc)}

@@ -88,6 +88,25 @@ def listed(rows: DataFrame, key: str, listing: DataFrame, listing_key: str) -> D
     )
 
 
+def passing(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be among column ``key`` of ``keys``: all that are, and a few others. Nulls never pass.
+
+    The filter is broadcast up to its checked size; a list beyond that gives all rows back, for the exact join that follows.
+    """
+    n_keys = keys.count()
+    if n_keys == 0:
+        return rows.where(F.lit(False))
+    bloom, n_blocks = bloom_filter(keys, n_keys)
+    if n_blocks * ROW_BYTES > MAX_FILTER_BYTES:
+        return rows
+    probe = bloom.select(F.col("block").alias("_block"), *[F.col(f"w{j}").alias(f"_w{j}") for j in range(WORDS)])
+    passes = F.lit(True)
+    for j, mask in enumerate(_masks(F.col(key))):
+        passes = passes & (F.col(f"_w{j}").bitwiseAND(mask) == mask)
+    probed = rows.withColumn("_block", _block(F.col(key), n_blocks)).join(F.broadcast(probe), "_block")
+    return probed.where(passes).select(*rows.columns)
+
+
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], block_list: DataFrame) -> DataFrame:
     """page_id, url, host, path, canonical, rule, is_listed, verdict of every row of ``pages`` (page_id, url).
 
