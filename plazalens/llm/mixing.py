@@ -133,23 +133,24 @@ def _plans(keys, pdf: pd.DataFrame) -> pd.DataFrame:
 def picks(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with boolean ``extra``: of the ``n`` rows of each (source, size), the ``picked`` ones least by seeded hash.
 
-    A group is cut into about sqrt(n) buckets by hash. Bucket counts tell which bucket the border falls into; only that one is
-    ranked. So a length that a third of all rows share never meets in one task.
+    A group is cut into about sqrt(n) buckets by hash. Counts of the buckets tell which are in, which are out and which one holds the
+    border; only that one is ranked. So a length that a third of all rows share never meets in one task.
     """
     unit = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("digest")), F.lit(1 << 40).cast("long"))
     buckets = F.ceil(F.sqrt(F.col("n").cast("double"))).cast("long")
-    group = ["source", "size"]
     rows = rows.withColumn("_u", unit).withColumn("_b", (F.col("_u") * 1.0 / (1 << 40) * buckets).cast("long"))
     partly = rows.where("picked > 0 and picked < n")
-    counted = partly.groupBy(*group, "_b").agg(F.count("*").alias("_c"), F.first("picked").alias("picked"))
-    before = F.coalesce(F.sum("_c").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    border = counted.withColumn("_before", before).where("_before < picked and _before + _c >= picked")
-    border = border.select(F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("_b").alias("_at"), F.col("_before"))
-    joined = partly.join(border, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
-    inside = joined.where("_b = _at")
-    order = Window.partitionBy(*group).orderBy("_u", "digest", "doc_id", "row")
-    inside = inside.withColumn("extra", F.row_number().over(order) <= F.col("picked") - F.col("_before"))
-    outside = joined.where("_b <> _at").withColumn("extra", F.col("_b") < F.col("_at"))
+    group = ["source", "size"]
+    counted = partly.groupBy(*group, "_b").agg(F.count("*").alias("_c"), F.first("picked").alias("_picked"))
+    in_order = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("_room", F.col("_picked") - F.coalesce(F.sum("_c").over(in_order), F.lit(0)))
+    counted = counted.select(F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("_b").alias("_at"), "_c", "_room")
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("_b") == F.col("_at"))
+    joined = partly.join(counted, same)
+    at_border = (F.col("_room") > 0) & (F.col("_room") < F.col("_c"))
+    order = Window.partitionBy(*group, "_b").orderBy("_u", "digest", "doc_id", "row")
+    inside = joined.where(at_border).withColumn("extra", F.row_number().over(order) <= F.col("_room"))
+    outside = joined.where(~at_border).withColumn("extra", F.col("_room") > 0)
     whole = rows.where("picked = 0 or picked = n").withColumn("extra", F.col("picked") > 0)
     names = [*[c for c in rows.columns if c not in ("_u", "_b")], "extra"]
     return whole.select(*names).unionByName(inside.select(*names)).unionByName(outside.select(*names))
