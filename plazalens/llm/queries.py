@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazalens.llm import decontam, language, mixing, neardup, pii, secrets, urls, warc
+from plazalens.llm import decontam, language, mixing, neardup, perplexity, pii, secrets, urls, warc
 from plazalens.llm.common import count_words, table
 
 # The domain rules of the URL query, and the labels whose pages make up the feed of listed URLs
@@ -43,6 +43,12 @@ def op5_decontam(spark, sf):
     )
 
 
+def op6_perplexity(spark, sf):
+    found = perplexity.quality(table(spark, sf, "documents"), "doc_id")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *base, "base_failed", "kept", "log_perplexity", "lower", "upper")
+
+
 def op7_language(spark, sf):
     docs = table(spark, sf, "documents")
     found = language.identify(docs, language.fit(docs), "doc_id")
@@ -66,4 +72,5 @@ def op10_warc(spark, sf):
     return warc.derivatives(warc.responses_of_pages(table(spark, sf, "pages"), CRAWL_DATE), "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_mixing, op4_neardup, op5_decontam, op7_language, op8_urls, op9_secrets, op10_warc)}
+OPERATORS = (op1_pii, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc)
+QUERIES = {f.__name__: f for f in OPERATORS}
