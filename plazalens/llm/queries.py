@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazalens.llm import decontam, language, mixing, neardup, perplexity, pii, secrets, urls, warc
+from plazalens.llm import decontam, language, mixing, neardup, perplexity, pii, secrets, suffixdedup, urls, warc
 from plazalens.llm.common import count_words, table
 
 # The domain rules of the URL query, and the labels whose pages make up the feed of listed URLs
@@ -24,6 +24,14 @@ def op1_pii(spark, sf):
     return found.select("doc_id", "text", F.size("found").alias("n_replaced"), F.array_join("found", ",").alias("kinds"))
 
 
+def op2_suffixdedup(spark, sf):
+    found = suffixdedup.without_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_mixing(spark, sf):
     docs = table(spark, sf, "documents")
     mixed = mixing.mix(docs, count_words(F.col("text")))
@@ -72,5 +80,5 @@ def op10_warc(spark, sf):
     return warc.derivatives(warc.responses_of_pages(table(spark, sf, "pages"), CRAWL_DATE), "page_id")
 
 
-OPERATORS = (op1_pii, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc)
+OPERATORS = (op1_pii, op2_suffixdedup, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc)
 QUERIES = {f.__name__: f for f in OPERATORS}
