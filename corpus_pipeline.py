@@ -7,15 +7,20 @@ do no harm; of rows that repeat both, one stays after near-duplicate removal. An
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from plazalens.llm import decontam, language, mixing, neardup, secrets
 from plazalens.llm.common import count_words, parked, table
 
 MARK = "[SECRET]"
-# A row's identity: id and whole text
-KEY = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|"), F.coalesce("text", F.lit(""))))
+
+
+def _key() -> Column:
+    """A row's identity: id and whole text."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return F.md5(F.concat(doc_id, F.lit("|"), F.coalesce("text", F.lit(""))))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +31,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of least id (null ids last)."""
-    identity = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY.alias("key"))
+    identity = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", _key().alias("key"))
     found = neardup.near_duplicates(docs.select(identity.alias("doc_id"), "text"))
     kept = found.where("kept").select(F.col("id.key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", KEY).join(kept, "_key", "left_semi")
+    rows = docs.withColumn("_key", _key()).join(kept, "_key", "left_semi")
     return rows.dropDuplicates(["_key"]).select(*docs.columns)
 
 
@@ -39,7 +44,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where("n_hit = 0").select(*docs.columns)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _masked(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for texts, starts, stops in batches:
         rows = zip(texts, starts, stops)
@@ -57,7 +62,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with ``repeats``: how often it takes each."""
-    keyed = docs.withColumn("_key", KEY)
+    keyed = docs.withColumn("_key", _key())
     mix = mixing.mix(keyed.select(F.col("_key").alias("doc_id"), "source", "text"), count_words(F.col("text")))
     taken = mix.where("repeats > 0").select(F.col("doc_id").alias("_key"), "repeats")
     taken = taken.groupBy("_key").agg(F.sum("repeats").alias("repeats"))
