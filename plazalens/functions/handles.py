@@ -9,7 +9,7 @@ from plazalens.functions.whitespace import SPACE, char_class
 OTHER_TOKEN = "USER"
 
 # What may stand next to a handle, besides whitespace and the ends of the text
-_EDGE = SPACE + char_class(".,;:!?()-=[]")
+EDGE = SPACE + char_class(".,;:!?()-=[]")
 _TO_END = 2**31 - 1
 
 
@@ -21,9 +21,9 @@ def _pieces(c: Column) -> Column:
 
     def cut(parts: Column) -> Column:
         def piece(part: Column, at: Column) -> Column:
-            run = F.regexp_extract(part, f"^[^{_EDGE}]+", 0)
+            run = F.regexp_extract(part, f"^[^{EDGE}]+", 0)
             before = F.get(parts, at - 1)
-            opens = F.when(before == "", at == 1).otherwise(F.substring(before, -1, 1).rlike(f"[{_EDGE}]"))
+            opens = F.when(before == "", at == 1).otherwise(F.substring(before, -1, 1).rlike(f"[{EDGE}]"))
             closes = (run != part) | (at == F.size(parts) - 1)
             return F.struct(
                 F.when(at > 0, F.concat(F.lit("@"), part)).otherwise(part).alias("text"),

@@ -8,13 +8,13 @@ CREATED_AT = "MMM dd HH:mm:ss Z yyyy"
 FILE_HOUR = "dd-MM-yyyy-HH"
 
 
-def _utc(instant: Column) -> Column:
+def as_utc(instant: Column) -> Column:
     return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def parse_created_at(c: Column) -> Column:
     """``Wed Oct 26 14:03:59 +0000 2022`` as a timestamp; text of any other shape gives null."""
-    return _utc(F.try_to_timestamp(F.substring(c, 5, 64), F.lit(CREATED_AT)))
+    return as_utc(F.try_to_timestamp(F.substring(c, 5, 64), F.lit(CREATED_AT)))
 
 
 def hour_of(c: Column) -> Column:
@@ -33,7 +33,7 @@ def iso_ticks(ts: Column) -> Column:
 def file_hour(name: Column) -> Column:
     """Hour named by a raw file, null when the name holds none."""
     found = F.regexp_extract(name, "([0-9]+-[0-9]+-[0-9]+-[0-9]+)", 1)
-    return _utc(F.try_to_timestamp(F.when(found != "", found), F.lit(FILE_HOUR)))
+    return as_utc(F.try_to_timestamp(F.when(found != "", found), F.lit(FILE_HOUR)))
 
 
 def hours_between(earlier: Column, later: Column) -> Column:

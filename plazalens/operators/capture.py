@@ -4,16 +4,19 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from plazalens.functions.handles import EDGE
 from plazalens.functions.patterns import java_pattern
-from plazalens.functions.times import iso_ticks, parse_created_at, short_date
+from plazalens.functions.times import as_utc, iso_ticks, parse_created_at, short_date
 
 
 def _has_word(text: Column, words: list[str]) -> Column:
     """Any tracked word in the text, case ignored. Handles share one branch, so the engine looks at each ``@`` once."""
     handles = [re.escape(w[1:]) for w in words if w.startswith("@")]
     others = [f"(?:{w})" for w in words if not w.startswith("@")]
-    branches = ([f"@(?:{'|'.join(handles)})"] if handles else []) + others
+    # a handle ends at an edge, or @ana would capture @anabel
+    branches = ([f"@(?:{'|'.join(handles)})(?:[{EDGE}]|$)"] if handles else []) + others
     if not branches:
         return F.lit(False)
     return F.coalesce(text.rlike(java_pattern("|".join(branches), ignore_case=True)), F.lit(False))
@@ -50,9 +53,12 @@ def enrich_capture(posts: DataFrame) -> DataFrame:
 
 def flatten_flat(posts: DataFrame) -> DataFrame:
     """The flat feed's six fields from id, text, author and creation time (a timestamp)."""
-    iso = _iso(F.col("created_at"))
+    at = F.col("created_at")
+    if isinstance(posts.schema["created_at"].dataType, TimestampType):
+        at = as_utc(at)
+    iso = _iso(at)
     return posts.select(
-        "id", "text", "author_id", iso.alias("created_at"), F.to_date("created_at").cast("string").alias("date"),
+        "id", "text", "author_id", iso.alias("created_at"), F.to_date(at).cast("string").alias("date"),
         iso.alias("datetime"),
     )
 

@@ -17,5 +17,8 @@ def drop_repeated_posts(posts: DataFrame, key: str = "id") -> DataFrame:
 
 
 def drop_repeated_within(stream: DataFrame, key: str = "id", event_time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """The streaming form: an id is remembered until the watermark has passed it."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    """The streaming form: an id is remembered until the watermark has passed it. Posts without an id are kept as they are, each
+    under a key of its own, so that they don't share a state partition either."""
+    once = F.coalesce(F.concat(F.lit("id "), F.col(key).cast("string")), F.concat(F.lit("row "), F.expr("uuid()")))
+    keyed = stream.withWatermark(event_time, delay).withColumn("_once", once)
+    return keyed.dropDuplicatesWithinWatermark(["_once"]).drop("_once")

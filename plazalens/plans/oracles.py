@@ -178,7 +178,7 @@ _POST_QUERIES = {
     "quarantine": f"""select '{{"id": ' || o_orderkey || ', oops' line from orders where o_orderkey % {MALFORMED_EVERY} = 0""",
     "capture_filter": f"""with {_POSTS} select k::varchar id from posts where c between {FOLLOWED[0]} and {FOLLOWED[-1]}
         or (own_reply and k % 150 + 1000 between {FOLLOWED[0]} and {FOLLOWED[-1]})
-        or regexp_matches(text, '(?i)@seed7|@seed11|tont[oó]n')""",
+        or regexp_matches(text, '(?i)@(seed7|seed11)([\\s.,;:!?()=\\[\\]-]|$)|tont[oó]n')""",
     "capture_enrich": f"""with {_POSTS} select k::varchar id, k::bigint id_num, strftime(datetime, '%d/%m/%y') date,
         strftime(datetime, '%Y-%m-%dT%H:%M:%S.%f') || '0Z' datetime from posts""",
     "created_at_parse": f"with {_POSTS} select k::varchar id, datetime ts from posts",
@@ -330,7 +330,7 @@ _DICTIONARY = {
     "handle_pages": """select c_name screen_name, c_custkey ord,
         ((row_number() over (order by c_custkey) - 1) // 400)::bigint page_no from customer""",
     "tracking_words": """select '@seed' || s_suppkey word from supplier where s_suppkey % 31 <> 5
-        union all select string_split(text, ' ')[1] from benchmark""",
+        union all select distinct w from (select unnest(string_split(text, ' ')) w from benchmark) where w <> ''""",
     "handle_map": """select o_custkey user_id, replace(arg_max('@' || o_orderpriority, o_orderkey), '@', '') screen_name
         from orders group by o_custkey""",
     "seed_upsert": f"""with {_SEEDS}, a as (select (o_custkey + 1000)::varchar user_id,
@@ -388,12 +388,11 @@ _STREAMS = {
         where "Hour" + interval '1 hour' <= (select max(o_orderdate + (o_orderkey % 24) * interval '1' hour
           + interval '7' minute) from orders where o_orderkey in (select l_orderkey from lineitem
           join supplier on s_suppkey = l_suppkey where s_nationkey % 2 = 0)) - interval '1 hour'""",
-    "stream_dedup": _with("ab") + """select distinct l_orderkey id, abuse from lineitem join supplier on s_suppkey = l_suppkey
-        join ab on l_orderkey = ab.id where s_nationkey % 2 = 0""",
+    "stream_dedup": _with("tw", "ab") + "select distinct ab.id, abuse from ab join tw on tw.id = ab.id",
     "stream_capture": f"""with {_POSTS} select k::varchar id, k::bigint id_num, strftime(datetime, '%d/%m/%y') date,
         strftime(datetime, '%Y-%m-%dT%H:%M:%S.%f') || '0Z' datetime from posts where c between {FOLLOWED[0]} and {FOLLOWED[-1]}
         or (own_reply and k % 150 + 1000 between {FOLLOWED[0]} and {FOLLOWED[-1]})
-        or regexp_matches(text, '(?i)@seed7|@seed11|tont[oó]n')""",
+        or regexp_matches(text, '(?i)@(seed7|seed11)([\\s.,;:!?()=\\[\\]-]|$)|tont[oó]n')""",
     "stream_handles": f"""with {_SEEDS}, l as (select o_custkey::varchar user_id, max(o_orderdate
             + (o_orderkey % 24) * interval '1' hour + interval '7' minute) t from orders group by 1)
         select s.ord::varchar user_id, case when t is null then screen_name else 'user' || s.ord end screen_name,

@@ -369,7 +369,7 @@ def handle_pages(spark, sf):
 
 def tracking_words(spark, sf):
     (benchmark,) = stand_in.load(spark, sf, "benchmark")
-    words = benchmark.select(F.substring_index("text", " ", 1).alias("word"))
+    words = benchmark.select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''").distinct()
     return seeds.tracking_words(stand_in.seeds(spark, sf), words)
 
 
@@ -429,9 +429,9 @@ def _streamed_posts(spark, sf) -> DataFrame:
     names = ins.groupBy("id").agg(F.collect_list("insult").alias("insults_name"))
     seeds_of = men.groupBy("id").agg(F.collect_set(F.col("mention").cast("string")).alias("f_seed"))
     rows = (
-        tw.join(ab, "id").join(seeds_of, "id").join(names, "id", "left")
+        tw.join(ab, "id").join(seeds_of, "id", "left").join(names, "id", "left")
         .select("id", F.col("ts").cast("timestamp").alias("ts"), F.col("rt").isNotNull().alias("is_rt"), "abuse",
-                "f_seed", "insults_name")
+                F.coalesce("f_seed", F.array().cast("array<string>")).alias("f_seed"), "insults_name")
     )
     folder = f"{shared_dir(spark)}/posts-{uuid.uuid4().hex}"
     rows.unionAll(rows).write.parquet(folder)
