@@ -26,6 +26,7 @@ GRAMS = DEPTH - GRAM + 1  # in a place
 CROWDED = 1000  # different segments of an anchor, beyond which it is cut finer
 FINE = 4  # neighbouring places in a finer block
 INDEX_BYTES = 2 << 20  # of a run-length index, about
+BATCH_ROWS = 1 << 15  # segments sent on at once, about
 LAST = (1 << 63) - 1  # null ids come after all others
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -77,11 +78,11 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, ...]:
     # grams that are anchors, counted by segment
     around = np.concatenate((np.zeros(GRAMS - 1, np.uint64), least, np.zeros(GRAMS - 1, np.uint64)))
     at = np.flatnonzero(hashes == _spread(around, GRAMS, np.maximum))
-    inside = np.searchsorted(at, stop - GRAM, "right") - np.searchsorted(at, start)
-    several = np.zeros(len(start), bool)
-    for i in np.flatnonzero(inside > 1):
-        own = at[np.searchsorted(at, start[i]) : np.searchsorted(at, stop[i] - GRAM, "right")]
-        several[i] = (hashes[own] == anchor[i]).sum() > 1
+    values, rank = np.unique(hashes[at], return_inverse=True)
+    width = len(data) + 1
+    keys = np.sort(rank * width + at)
+    own = np.searchsorted(values, anchor) * width
+    several = np.searchsorted(keys, own + stop - GRAM, "right") - np.searchsorted(keys, own + start) > 1
     return anchor, start, stop - start, content, several
 
 
@@ -100,15 +101,27 @@ _SEGMENT = "doc long, tie long, anchor long, start long, length long, content lo
 
 
 def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [p.split()[0] for p in _SEGMENT.split(", ")]
+
+    def answer(found):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
+
+    held, rows = [], 0
     for batch in batches:
-        for row, t in enumerate(batch.column("t")):
+        docs, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
+        for doc, tie, t in zip(docs, ties, batch.column("t")):
             data = _bytes(t)
             if len(data) < DEPTH:
                 continue
             anchor, start, length, content, several = segments(data)
-            same = [np.full(len(anchor), batch.column(c)[row].as_py(), np.int64) for c in ("doc", "tie")]
-            columns = [*same, anchor.view(np.int64), start, length, content.view(np.int64), several]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[p.split()[0] for p in _SEGMENT.split(", ")])
+            n = len(anchor)
+            held.append((np.full(n, doc), np.full(n, tie), anchor.view(np.int64), start, length, content.view(np.int64), several))
+            rows += n
+            if rows >= BATCH_ROWS:
+                yield answer(held)
+                held, rows = [], 0
+    if held:
+        yield answer(held)
 
 
 def _finer(data: np.ndarray, anchor: int) -> Iterator[tuple[int, int, int]]:
