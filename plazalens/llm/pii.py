@@ -89,14 +89,17 @@ def _mod97(compact: Column) -> Column:
 def _filled(v: Column, values: Column) -> Column:
     """``v`` with its letters and digits replaced by ``values`` in order; other characters stay."""
 
-    def put(acc, c):
-        fits = c.rlike("[A-Za-z0-9]")
-        return F.struct(
-            F.concat(acc["out"], F.when(fits, F.get(values, acc["at"])).otherwise(c)).alias("out"),
-            (acc["at"] + F.when(fits, 1).otherwise(0)).alias("at"),
-        )
-
-    return F.aggregate(_chars(v), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), put, lambda acc: acc["out"])
+    def fill(values):  # bound, or every character would compute them again
+        def put(acc, c):
+            fits = c.rlike("[A-Za-z0-9]")
+            return F.struct(
+                F.concat(acc["out"], F.when(fits, F.get(values, acc["at"])).otherwise(c)).alias("out"),
+                (acc["at"] + F.when(fits, 1).otherwise(0)).alias("at"),
+            )
+
+        return F.aggregate(_chars(v), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), put, lambda acc: acc["out"])
+
+    return let(values, fill)
 
 
 def _permuted_chars(plain: Column, fixed: Column | None, key: str, label: str, first: Column | None = None) -> Column:
