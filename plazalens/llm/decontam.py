@@ -1,8 +1,8 @@
 """Benchmark decontamination by winnowing: the least gram hash of every window of grams is a fingerprint of item and document alike.
 
 A shared span of WINDOW words holds a whole window of grams on both sides and so shares a fingerprint. Fingerprints find the
-documents; there every gram of an item found again is a diagonal (document place minus item place), and each diagonal is extended
-over the words themselves to the spans that hold a window.
+documents; there every gram of an item found again lies on a diagonal (document place minus item place), and neighbouring grams of a
+diagonal are extended to the spans that hold a window. Words and grams are compared by 64-bit hashes.
 """
 
 import hashlib
@@ -65,12 +65,20 @@ def fingerprints(word_array: Column, short: list[int]) -> Column:
 
 
 def _anchors(items: DataFrame, n_words: Column, short: list[int]) -> DataFrame:
-    """fp, item_id, place: all grams of long items, the one gram of short ones."""
+    """n (words of the item), item_id, item (its words' hash, as ids may repeat), place, fp: all grams of long items, the one gram of
+    short ones."""
     hashed = F.transform("words", lambda w: F.xxhash64(w))
     grams = F.when(n_words >= WINDOW, let(hashed, _grams_of(GRAM)))
     for n in short:
         grams = grams.when(n_words == n, let(hashed, _grams_of(n)))
-    return items.select("item_id", F.posexplode(grams).alias("place", "fp"))
+    return items.select(n_words.alias("n"), "item_id", F.xxhash64("words").alias("item"), F.posexplode(grams).alias("place", "fp"))
+
+
+def _runs(at: Column) -> Column:
+    """Spans of words (start, stop) that the runs of neighbouring grams at the sorted places ``at`` cover."""
+    starts = F.filter(at, lambda x, i: (i == 0) | (F.get(at, i - 1) < x - 1))
+    lasts = F.filter(at, lambda x, i: (i == F.size(at) - 1) | (F.get(at, i + 1) > x + 1))
+    return F.zip_with(starts, lasts, lambda a, b: F.struct(a.alias("start"), (b + GRAM).alias("stop")))
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -99,25 +107,18 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = parked(texts.join(keys, "key", "left_semi").select("key", words(F.col("text")).alias("words")), "suspects")
 
     own = F.transform("words", lambda w: F.xxhash64(w))
+    long, brief = anchors.where(f"n >= {WINDOW}").drop("n"), anchors.where(f"n < {WINDOW}").drop("place")
     places = texts.select("key", F.posexplode(let(own, _grams_of(GRAM))).alias("at", "fp"))
+    met = places.join(_bounded(long, n_anchors), "fp")
+    # a group is one item laid along one text: no more places than the item has grams
+    diagonals = met.groupBy("key", "item_id", "item", (F.col("at") - F.col("place")).alias("shift")).agg(F.sort_array(F.collect_set("at")).alias("at"))
+    found = diagonals.select("key", "item_id", F.explode(_runs(F.col("at"))).alias("s")).where(f"s.stop - s.start >= {WINDOW}")
+    found = found.select("key", "item_id", "s.start", "s.stop")
     for n in short:
-        places = places.unionByName(texts.select("key", F.posexplode(let(own, _grams_of(n))).alias("at", "fp")))
-    diagonals = places.join(_bounded(anchors, n_anchors), "fp").select("key", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
-    items = items.withColumnRenamed("words", "item")
-    pairs = diagonals.join(texts, "key").join(_bounded(items, n_anchors), "item_id")
-
-    same = lambda i: F.coalesce(F.get("words", i + F.col("shift")) == F.get("item", i), F.lit(False))
-    n_item = F.size("item")
-    breaks = F.filter(F.sequence(F.lit(-1), n_item), lambda i: (i < 0) | (i >= n_item) | ~same(i))
-    runs = let(
-        breaks,
-        lambda b: F.transform(
-            F.sequence(F.lit(0), F.size(b) - 2),
-            lambda j: F.struct((F.get(b, j) + 1 + F.col("shift")).alias("start"), (F.get(b, j + 1) + F.col("shift")).alias("stop")),
-        ),
-    )
-    spans = F.filter(runs, lambda s: s["stop"] - s["start"] >= F.least(n_item, F.lit(WINDOW)))
-    return parked(pairs.select("key", "item_id", F.explode(spans).alias("s")).select("key", "item_id", "s.start", "s.stop"), "hits")
+        places = texts.select("key", F.lit(n).alias("n"), F.posexplode(let(own, _grams_of(n))).alias("at", "fp"))
+        whole = places.join(_bounded(brief, n_anchors), ["fp", "n"])
+        found = found.unionByName(whole.select("key", "item_id", F.col("at").alias("start"), (F.col("at") + n).alias("stop")))
+    return parked(found, "hits")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *keep: str) -> DataFrame:
@@ -134,10 +135,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *keep: str) -> DataFram
     result = parked(covered.join(names, "key"), "hit-texts")
     columns = list(dict.fromkeys(keep))
     rows = need(docs, *dict.fromkeys([*columns, "text"]))
-    n_words = F.coalesce(F.regexp_count("text", F.lit("[^" + NOT_WORD[1:])), F.lit(0)).cast("long")
-    rows = rows.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(columns)], n_words.alias("n_words"), F.md5("text").alias("key"))
+    n_words = F.size(F.array_remove(F.split("text", NOT_WORD), "")).cast("long")
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(columns)]
     # rows without text keep apart from the join, their null keys would meet in one task
-    joined = rows.where("key is not null").join(result, "key", "left").unionByName(rows.where("key is null"), allowMissingColumns=True)
+    blank = rows.where("text is null").select(*kept, F.lit(0).cast("long").alias("n_words"))
+    rows = rows.where("text is not null").select(*kept, n_words.alias("n_words"), F.md5("text").alias("key"))
+    joined = rows.join(result, "key", "left").unionByName(blank, allowMissingColumns=True)
     return joined.select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(columns)], "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
