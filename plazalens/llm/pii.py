@@ -3,6 +3,9 @@
 A value is read as a row of symbols, each with its own range: a digit, a letter, an octet, a part of a day number. The rounds add to
 one half of the symbols a keyed hash of the other half, symbol by symbol within its range. So every format maps onto itself one to
 one: an equal value gets an equal pseudonym in every document, and different values stay different.
+
+Phones are seen with a country code, with a bracketed area code, as 555-123-4567 or 555.123.4567, and nationally with a leading 0 and
+a blank, dash or slash after the area code. Unbroken digits alone are no phone.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +21,11 @@ SHAPES = {
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[.][0-9]{2}[.][0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?![0-9]|[.][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?:\+1[ .-]?)?(?<![0-9])\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
-    r"|\+1[ .-]?[2-9][0-9]{2}[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])|\+[2-9][0-9](?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+    # with country code, with brackets, plain north American with dashes or points, national with a trunk 0
+    "phone": r"(?:\+1[ .-]?|(?<![0-9]))\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    r"|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[2-9][0-9](?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+    r"|(?<![A-Za-z0-9.,-])(?:(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}[.][0-9]{3}[.][0-9]{4})(?![A-Za-z0-9]|[.-][0-9])"
+    r"|(?<![A-Za-z0-9.,-])0[1-9][0-9]{1,4}[ /-](?:[0-9]{5,8}|[0-9]{3,4}[ -][0-9]{2,5}(?![ -][0-9]))(?![A-Za-z0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
@@ -104,16 +110,16 @@ def _filled(v: Column, values: Column) -> Column:
 
 def _permuted_chars(plain: Column, fixed: Column | None, key: str, label: str, first: Column | None = None) -> Column:
     """Letters and digits of ``plain`` permuted within their kind, as an array; the leading ``fixed`` ones stay, and places in
-    ``first`` (array of int) hold digits from 2 to 9."""
+    ``first`` (array of int) keep to 2-9 or to 0 and 1, whichever their digit is of."""
     code = lambda c: F.ascii(c)
 
     def low(c, i):
         start = F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).otherwise(65)
-        return F.when(F.array_contains(first, i), 50).otherwise(start) if first is not None else start
+        return F.when(F.array_contains(first, i) & (c >= "2"), 50).otherwise(start) if first is not None else start
 
     def span(c, i):
         size = F.when(c.rlike("[0-9]"), 10).otherwise(26)
-        size = F.when(F.array_contains(first, i), 8).otherwise(size) if first is not None else size
+        size = F.when(F.array_contains(first, i), F.when(c >= "2", 8).otherwise(2)).otherwise(size) if first is not None else size
         return F.when(i < fixed, 1).otherwise(size) if fixed is not None else size
 
     def base(c, i):
@@ -154,8 +160,9 @@ def _iban(v: Column, key: str) -> Column:
 
 def _phone(v: Column, key: str) -> Column:
     digits = F.regexp_replace(v, "[^0-9]", "")
-    north = v.startswith("+1") | v.startswith("(")
-    fixed = F.when(v.startswith("+1"), 1).when(v.startswith("("), 0).otherwise(2)
+    code = v.startswith("+1") | v.startswith("1-")
+    north = code | v.startswith("(") | v.rlike("^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$")
+    fixed = F.when(code, 1).when(north, 0).otherwise(2)  # country code, or trunk 0 and the digit after it
     first = F.when(north, F.array(fixed, fixed + 3)).otherwise(F.array().cast("array<int>"))
     return _filled(v, _permuted_chars(digits, fixed, key, "phone", first))
 
@@ -214,7 +221,7 @@ def kind_of(v: Column) -> Column:
         .when(v.rlike(whole["date"]) & _valid_date(v), F.lit("date"))
         .when(v.rlike(f"^{octet}(?:[.]{octet}){{3}}$"), F.lit("ip"))
         .when(v.rlike(ssn), F.lit("ssn"))
-        .when(v.rlike("^[+(]"), F.lit("phone"))
+        .when(v.rlike(whole["phone"]), F.lit("phone"))
         .when(v.rlike("^[0-9 -]+$") & F.regexp_replace(v, "[^0-9]", "").rlike("^[0-9]{13,19}$") & let(digits, lambda d: _luhn_sum(d) % 10 == 0), F.lit("card"))
         .when(v.rlike("^[A-Z]{2}[0-9]{2}") & (_mod97(F.replace(v, F.lit(" "), F.lit(""))) == 1), F.lit("iban"))
     )

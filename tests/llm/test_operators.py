@@ -201,3 +201,32 @@ def test_urls_and_warc_take_nulls(spark):
 
 def test_pseudonyms_link_equal_values(docs, rows):
     assert pii.pseudonymised(docs, "secret", "doc_id").count() == len(rows)
+
+
+PERSONAL = {
+    "email": ["ann.lee@mail.example.com"],
+    "date": ["1987-03-14", "14.03.1987"],
+    "ip": ["10.20.30.40"],
+    "ssn": ["123-45-6789"],
+    "phone": ["+1 (152) 555-8590", "+1 (017) 055-7713", "+1(826) 555-4081", "(902) 155-0101", "+1 052 555 1234", "555-123-4567", "155.023.4567", "1-555-123-4567", "0171 5554433", "030/1234567", "0171-555 4433", "+49 171 5554433"],
+    "card": ["4111 1111 1111 1111", "378282246310005", "5500-0000-0000-0004"],
+    "iban": ["DE89 3704 0044 0532 0130 00"],
+}
+
+
+def test_every_personal_value_is_replaced_and_linked(spark):
+    values = [(k, v) for k, vs in PERSONAL.items() for v in vs]
+    table = [(i, f"{before} {v}{after}") for i, (k, v) in enumerate(values) for before, after in (("called", " then"), ("é:", ", or"))]
+    found = pii.pseudonymised(spark.createDataFrame(table, "doc_id int, text string"), "secret", "doc_id").collect()
+    assert len(found) == len(table)
+    pseudonyms = {}
+    for r in found:
+        kind, value = values[r["doc_id"]]
+        assert r["found"] == [kind] and value not in r["text"], (value, r)
+        new = r["text"].removeprefix("called ").removeprefix("é: ").removesuffix(" then").removesuffix(", or")
+        assert re.fullmatch(pii.SHAPES[kind].replace("++", "+").replace("(?<=[.][A-Za-z]{2,24})", ""), new), (value, new)
+        pseudonyms.setdefault(value, set()).add(new)
+    assert all(len(p) == 1 for p in pseudonyms.values())
+    assert len(set().union(*pseudonyms.values())) == len(values)
+    areas = pii.pseudonymised(spark.createDataFrame([(f"+1 ({a:03d}) 055-7713",) for a in range(1000)], "text string"), "secret").collect()
+    assert len({r["text"] for r in areas}) == 1000 and all(r["found"] == ["phone"] for r in areas)
