@@ -26,10 +26,12 @@ SHAPES = {
     r"|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[2-9][0-9](?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?<![A-Za-z0-9.,-])(?:(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}[.][0-9]{3}[.][0-9]{4})(?![A-Za-z0-9]|[.-][0-9])"
     r"|(?<![A-Za-z0-9.,-])0[1-9][0-9]{1,4}[ /-](?:[0-9]{5,8}|[0-9]{3,4}[ -][0-9]{2,5}(?![ -][0-9]))(?![A-Za-z0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+",  # a whole row of digit groups, _cut() finds the cards in it
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
 PATTERN = "|".join(SHAPES.values())
+NO_CARD = "|".join(v for k, v in SHAPES.items() if k != "card")
+CARD_GROUPS = "^(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})[ -]?$"
 FIRST_DAY, DAYS = "1900-01-01", (319, 229)  # 319 * 229 days end with 2099-12-31
 
 
@@ -236,6 +238,72 @@ def pseudonym(kind: Column, v: Column, key: str) -> Column:
     return out.otherwise(v)
 
 
+def _pieces(v: Column, pattern: str, of_match) -> Column:
+    """``v`` as an array of (v, hit): what lies between matches of ``pattern`` as it is, matches as the array ``of_match`` gives."""
+    matches = F.regexp_extract_all(v, F.lit(pattern), 0)
+    between = lambda g: F.array(_piece(g, False))
+    whole = F.zip_with(F.split(v, pattern, -1), matches, lambda g, m: F.when(m.isNull(), between(g)).otherwise(F.concat(between(g), of_match(m))))
+    return F.flatten(whole)
+
+
+def _piece(v: Column, hit: bool) -> Column:
+    return F.struct(v.alias("v"), F.lit(hit).alias("hit"))
+
+
+def _cut(run: Column) -> Column:
+    """Pieces of a row of digit groups: the valid cards in it, and the rest with matches of the other shapes.
+
+    From left to right, a group begins a card if it and those after it are in one of CARD_GROUPS; otherwise if they make a card in any
+    grouping that doesn't reach into such a card, the longest first.
+    """
+
+    def cut(groups):
+        n = F.size(groups)
+        text = lambda i, stop: F.array_join(F.slice(groups, i + 1, stop - i), "")
+
+        def valid(i, stop):
+            digits = F.regexp_replace(text(i, stop), "[^0-9]", "")
+            return F.when(digits.rlike("^[0-9]{13,19}$"), let(_digits(digits), lambda d: _luhn_sum(d) % 10 == 0)).otherwise(False)
+
+        def ends(i):
+            stops = F.filter(F.sequence(i + 1, F.least(i + 19, n)), lambda stop: valid(i, stop))
+            return let(stops, lambda x: F.struct(x.alias("any"), F.array_max(F.filter(x, lambda stop: text(i, stop).rlike(CARD_GROUPS))).alias("grouped")))
+
+        def spans(ends):
+            def longest(i):
+                clear = lambda stop: ~F.exists(F.slice(ends, i + 2, stop - i - 1), lambda e: e["grouped"].isNotNull())
+                return F.coalesce(F.get(ends, i)["grouped"], F.array_max(F.filter(F.get(ends, i)["any"], clear)))
+
+            def step(acc, i):
+                def put(stop):
+                    taken = F.struct(stop.alias("at"), F.concat(acc["spans"], F.array(F.struct(i.alias("start"), stop.alias("stop")))).alias("spans"))
+                    return F.when(stop.isNull(), acc).otherwise(taken)
+
+                return F.when(i < acc["at"], acc).otherwise(let(longest(i), put))
+
+            none = F.array().cast("array<struct<start:int,stop:int>>")
+            return F.aggregate(F.sequence(F.lit(0), n - 1), F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+
+        def pieces(spans):
+            rest = lambda i, stop: F.when(stop > i, _pieces(text(i, stop), NO_CARD, lambda m: F.array(_piece(m, True)))).otherwise(F.array().cast(PIECES))
+
+            def one(s, k):
+                begin = F.when(k == 0, 0).otherwise(F.get(spans, k - 1)["stop"])
+                card = text(s["start"], s["stop"])
+                bare = F.regexp_replace(card, "[ -]$", "")
+                return F.concat(rest(begin, s["start"]), F.array(_piece(bare, True), _piece(F.substr(card, F.length(bare) + 1), False)))
+
+            last = F.when(F.size(spans) == 0, 0).otherwise(F.get(spans, F.size(spans) - 1)["stop"])
+            return F.concat(F.flatten(F.transform(spans, one)), rest(last, n))
+
+        return let(let(F.transform(F.sequence(F.lit(0), n - 1), ends), spans), pieces)
+
+    return let(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), 0), cut)
+
+
+PIECES = "array<struct<v:string,hit:boolean>>"
+
+
 def pseudonymised(docs: DataFrame, key: str, *keep: str) -> DataFrame:
     """``keep``, text with pseudonyms, and ``found`` (kinds of the replaced values in order) of every row of ``docs`` (text).
 
@@ -245,12 +313,13 @@ def pseudonymised(docs: DataFrame, key: str, *keep: str) -> DataFrame:
     names = list(dict.fromkeys(keep))
     rows = need(docs, *dict.fromkeys([*names, "text"])).select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)], F.col("text").alias("t"))
     may = F.col("t").rlike("@|[0-9][^A-Za-z]{0,3}[0-9]")
-    matches = F.when(may, F.regexp_extract_all("t", F.lit(PATTERN), 0)).otherwise(F.array().cast("array<string>"))
-    values = F.transform(matches, lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind")))
+    is_run = lambda m: m.rlike(f"^(?:{SHAPES['card']})$") & ~m.rlike(f"^(?:{SHAPES['phone']})$")
+    pieces = _pieces(F.col("t"), PATTERN, lambda m: F.when(is_run(m), _cut(m)).otherwise(F.array(_piece(m, True))))
+    pieces = F.when(may, pieces).otherwise(F.array().cast(PIECES))
+    values = F.transform(pieces, lambda x: F.struct(x["v"].alias("v"), F.when(x["hit"], kind_of(x["v"])).alias("kind")))
 
     def done(values):
-        new = F.transform(values, lambda x: pseudonym(x["kind"], x["v"], key))
-        text = F.array_join(F.zip_with(F.split("t", PATTERN, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+        text = F.array_join(F.transform(values, lambda x: pseudonym(x["kind"], x["v"], key)), "")
         found = F.filter(F.transform(values, lambda x: x["kind"]), lambda k: k.isNotNull())
         return F.when(F.size(values) > 0, F.struct(text.alias("text"), found.alias("found")))
 

@@ -230,3 +230,20 @@ def test_every_personal_value_is_replaced_and_linked(spark):
     assert len(set().union(*pseudonyms.values())) == len(values)
     areas = pii.pseudonymised(spark.createDataFrame([(f"+1 ({a:03d}) 055-7713",) for a in range(1000)], "text string"), "secret").collect()
     assert len({r["text"] for r in areas}) == 1000 and all(r["found"] == ["phone"] for r in areas)
+
+
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "5500 0000 0000 0004"
+    texts = [
+        f"order 12 {card}", "853 4111111111111111", f"{card} 12", f"1234 {card}", f"12 34 56 78 90 {card} 7", f"{card} {other}",
+        "12 3782 822463 10005", f"{card} 123-45-6789", f"12 0171 5554433 {card}", "7 41 1111 11111111 1111", "1 " * 20000 + card,
+    ]
+    found = {r["i"]: r for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "secret", "i").collect()}
+    for i, t in enumerate(texts):
+        for v in (card, other, "4111111111111111", "3782 822463 10005", "123-45-6789", "0171 5554433", "41 1111 11111111 1111"):
+            assert v not in t or v not in found[i]["text"], (t[-60:], found[i]["text"][-60:])
+        assert [len(x) for x in found[i]["text"].split(" ")] == [len(x) for x in t.split(" ")]
+    kinds = [r["found"] for _, r in sorted(found.items())]
+    assert kinds[:5] == [["card"]] * 5 and kinds[5:10] == [["card", "card"], ["card"], ["card", "ssn"], ["phone", "card"], ["card"]]
+    new = {found[0]["text"][9:], found[2]["text"][:19], found[3]["text"][5:], found[5]["text"][:19], found[7]["text"][:19]}
+    assert len(new) == 1
