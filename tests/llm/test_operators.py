@@ -247,3 +247,17 @@ def test_cards_beside_other_numbers(spark):
     assert kinds[:5] == [["card"]] * 5 and kinds[5:10] == [["card", "card"], ["card"], ["card", "ssn"], ["phone", "card"], ["card"]]
     new = {found[0]["text"][9:], found[2]["text"][:19], found[3]["text"][5:], found[5]["text"][:19], found[7]["text"][:19]}
     assert len(new) == 1
+
+
+def test_junk_is_dropped_however_often_it_is_copied(spark):
+    def junk(seed):
+        r = random.Random(seed)
+        return " ".join("".join(r.choices("qxzjkvwpfgbcdhlmn", k=r.randint(2, 9))) for _ in range(150))
+
+    table = [(i, prose(1000 + i, 150), "en") for i in range(200)]
+    hot = [(1000 + i, junk(1), "en") for i in range(120)]
+    table += [*hot, *[(2000 + i, junk(10 + i), "en") for i in range(6)]]
+    found = perplexity.quality(spark.createDataFrame(table, "doc_id int, text string, lang string").repartition(4), "doc_id").collect()
+    assert not any(r["base_failed"] for r in found)
+    assert not any(r["kept"] for r in found if r["doc_id"] >= 1000)
+    assert sum(r["kept"] for r in found if r["doc_id"] < 1000) >= 196
