@@ -57,10 +57,16 @@ def attach_lookup(
 
     The route for dimensions too large for a plan literal. Only (row key, key) pairs travel to the dimension, and
     they are made distinct first, so repeated copies of a row do not pile up. ``dim_key`` must be unique in ``dim``.
+    A row whose ``row_key`` is null is known by its keys instead, which give the same map to every row that has them.
     """
-    pairs = df.select(F.col(row_key).alias("_row"), F.explode(F.array_distinct(keys)).alias(dim_key)).distinct()
+    own = F.filter(F.array_distinct(keys), lambda k: k.isNotNull())
+    # rows with neither find nothing; numbers keep them from meeting in one task
+    apart = F.concat(F.lit("n"), F.monotonically_increasing_id().cast("string"))
+    by_keys = F.when(F.size(own) > 0, F.concat(F.lit("k"), F.sha2(F.to_json(F.array_sort(own)), 256))).otherwise(apart)
+    keyed = df.withColumn("_row", F.coalesce(F.concat(F.lit("i"), F.col(row_key).cast("string")), by_keys))
+    pairs = keyed.select("_row", F.explode(own).alias(dim_key)).distinct()
     hits = left_join_dimension(
         pairs, dim.select(dim_key, dim_value), dim_key, F.col("_row"), "inner", broadcast_rows
     )
     per_row = hits.groupBy("_row").agg(F.map_from_entries(F.collect_set(F.struct(dim_key, dim_value))).alias(out))
-    return df.join(per_row, df[row_key] == per_row["_row"], "left").drop("_row")
+    return keyed.join(per_row, "_row", "left").drop("_row")

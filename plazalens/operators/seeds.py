@@ -57,7 +57,8 @@ def seed_tests(
         .groupBy("_key")
         .agg(F.bit_or("_said").alias("_said"))
     )
-    keys = F.concat(F.transform(handles, lambda h: F.concat(F.lit("@"), F.lower(h))), F.array(account))
+    named = F.transform(handles, lambda h: F.concat(F.lit("@"), F.lower(h)))
+    keys = F.concat(F.coalesce(named, F.array().cast("array<string>")), F.array(account))
     marked = attach_lookup(df, "id", keys, dim, "_key", "_said", "_seed_map")
 
     def has(bit: int, key: Column) -> Column:

@@ -237,3 +237,15 @@ def test_hourly_stream_is_idempotent(spark, raw, tmp_path, seed_list, dictionary
     feed = post_source.stream_posts(spark, raw)
     stream_hourly.run_incremental(spark, feed, plan, broken, str(tmp_path / "out2"), str(tmp_path / "c"), keep_going=True).awaitTermination()
     assert "model missing" in spark.read.parquet(str(tmp_path / "out2/failures")).first().exception
+
+
+@pytest.mark.parametrize("literal_rows", [100, 0])
+def test_posts_without_id_find_their_seeds(spark, literal_rows):
+    schema = "id string, handles array<string>, account string"
+    rows = [(None, ["Ana"], "id_7"), (None, ["bob"], "id_10"), (None, [], None), (None, None, "id_11"), ("1", ["ana"], None), (None, ["Ana"], "id_7")]
+    listed = spark.createDataFrame([(10, "ana", "F"), (11, "bob", "M")], "user_id long, screen_name string, Genero string")
+    df, test = seeds.seed_tests(spark.createDataFrame(rows, schema), listed, F.col("handles"), F.col("account"), literal_rows)
+    handle = F.get("handles", F.lit(0))
+    found = df.select("id", test.is_female(handle), test.is_male(handle), test.is_seed_id(F.col("account"))).collect()
+    expected = [(None, True, False, False), (None, False, True, True), (None, None, None, None), (None, None, None, True), ("1", True, False, None), (None, True, False, False)]
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
