@@ -89,8 +89,9 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """key, item_id, start, stop: spans of words of the text with md5 ``key`` in which ``benchmark`` (item_id, text) occurs.
 
     The result is one for each distinct text, so copies cost nothing. Null texts have no words; an item without words never occurs.
+    An item of null id is found like any other, its hits have a null item_id.
     """
-    items = need(benchmark, "item_id", "text").where("item_id is not null").select("item_id", words(F.col("text")).alias("words"))
+    items = need(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("words"))
     items = parked(items.where(F.size("words") > 0).distinct(), "items")
     n_words = F.size("words")
     short = sorted(r[0] for r in items.select(n_words).where(n_words < WINDOW).distinct().collect())  # 9 values at most
@@ -124,14 +125,14 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *keep: str) -> DataFrame:
     """``keep``, n_words, n_hit, items (sorted as strings) of every row of ``docs`` (text).
 
-    Null and empty texts have no words and no hits; repeated rows repeat; an empty benchmark hits nothing; an empty table gives an
+    Items of null id count in n_hit and have no name in items. Null and empty texts have no words and no hits; repeated rows repeat; an empty benchmark hits nothing; an empty table gives an
     empty result. Only suspect texts are looked at twice.
     """
     found = hits(docs, benchmark)
     covered = found.select("key", F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("at")).distinct()
     covered = covered.groupBy("key").agg(F.count("*").alias("n_hit"))
     names = found.select("key", F.col("item_id").cast("string").alias("item")).distinct()
-    names = names.groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))  # of one text
+    names = names.groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))  # of one text; null ids are left out
     result = parked(covered.join(names, "key"), "hit-texts")
     columns = list(dict.fromkeys(keep))
     rows = need(docs, *dict.fromkeys([*columns, "text"]))

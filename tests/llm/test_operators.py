@@ -261,3 +261,11 @@ def test_junk_is_dropped_however_often_it_is_copied(spark):
     assert not any(r["base_failed"] for r in found)
     assert not any(r["kept"] for r in found if r["doc_id"] >= 1000)
     assert sum(r["kept"] for r in found if r["doc_id"] < 1000) >= 196
+
+
+def test_benchmark_items_without_id_contaminate(spark):
+    bench = spark.createDataFrame([(None, prose(99, 30)), (None, "lone words"), (5, prose(77, 30))], "item_id long, text string")
+    texts = [prose(3, 20) + " " + prose(99, 30), "the lone words here", prose(77, 12) + " " + prose(99, 30), prose(4, 40), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.decontaminate(docs, bench, "doc_id").collect()}
+    assert found == {0: (30, []), 1: (2, []), 2: (42, ["5"]), 3: (0, []), 4: (0, [])}
