@@ -3,7 +3,7 @@
 A token's symbols are held against what its encoding would give if they were drawn at random. Ordinary tokens repeat letters
 unevenly, alternate vowels and consonants, or count up. Each test gives a statistic whose spread among *ordinary* text follows from
 the token's length; the combined probability that ordinary text looks this random goes through false-discovery control, one length
-class at a time, over all documents.
+class at a time, over the distinct tokens of all documents.
 """
 
 import hashlib
@@ -39,7 +39,7 @@ ENCODINGS = [
 WORD_EXCESS = {"decimal": 0.10, "hex": 0.06, "base32": 0.045, "base36": 0.045, "base62": 0.05, "base64": 0.05}
 WORD_CLASSES = 0.12  # how often neighbours of a word differ in kind (lower, upper, digit, other), at most
 ALPHA = 0.01  # false discoveries among what is reported
-BINS = 40  # of -ln(p), two to a unit; the last is open
+BINS = 2800  # of -ln(p), two to a unit: as far as two probabilities of 1e-300 go
 LENGTHS = (32, 64, 128)  # borders of the length classes
 
 
@@ -123,15 +123,19 @@ def candidates(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
     return out
 
 
-SCANNED = "base array<struct<start:long,stop:long,kind:string>>, tokens array<struct<start:long,stop:long,score:double,bin:int>>"
+SCANNED = "base array<struct<start:long,stop:long,kind:string>>, tokens array<struct<start:long,stop:long,score:double,bin:int,hash:long>>"
 _TYPE = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())]))
-_TOKENS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64()), ("bin", pa.int32())]))
+_TOKENS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64()), ("bin", pa.int32()), ("hash", pa.int64())]))
 
 
 def _bin(n: int, score: float) -> int:
     return length_class(n) * BINS + min(BINS - 1, int(2 * score))
 
 
+def _hash(token: str) -> int:
+    return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         base, tokens = [], []
@@ -140,15 +144,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = base_spans(text)
             base.append([{"start": s, "stop": e, "kind": k} for s, e, k in known])
             found = candidates(text, known)
-            tokens.append([{"start": s, "stop": e, "score": x, "bin": _bin(e - s, x)} for s, e, x in found])
+            tokens.append([{"start": s, "stop": e, "score": x, "bin": _bin(e - s, x), "hash": _hash(text[s:e])} for s, e, x in found])
         columns = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(base, _TYPE), pa.array(tokens, _TOKENS)], names=[*names, "base", "tokens"])
 
 
 def thresholds(scanned: DataFrame, alpha: float = ALPHA) -> dict[int, int]:
-    """For each length class the lowest bin whose tokens are reported (Benjamini-Hochberg over the binned probabilities)."""
-    counts = scanned.select(F.explode("tokens.bin").alias("bin")).groupBy("bin").count().collect()  # BINS * 4 rows at most
+    """For each length class the lowest bin whose tokens are reported (Benjamini-Hochberg over the binned probabilities of the
+    distinct tokens: however often one occurs, it counts once)."""
+    tokens = scanned.select(F.explode("tokens").alias("t")).select("t.bin", "t.hash").distinct()
+    counts = tokens.groupBy("bin").count().collect()  # BINS * 4 rows at most
     by = {r["bin"]: r["count"] for r in counts}
     out = {}
     for group in range(len(LENGTHS) + 1):
@@ -156,7 +162,7 @@ def thresholds(scanned: DataFrame, alpha: float = ALPHA) -> dict[int, int]:
         above, least = 0, BINS
         for b in range(BINS - 1, 0, -1):
             above += by.get(group * BINS + b, 0)
-            if above and total * math.exp(-b / 2) <= alpha * above:
+            if above and math.log(total) - b / 2 <= math.log(alpha * above):
                 least = b
         out[group] = least
     return out

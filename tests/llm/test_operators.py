@@ -269,3 +269,20 @@ def test_benchmark_items_without_id_contaminate(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.decontaminate(docs, bench, "doc_id").collect()}
     assert found == {0: (30, []), 1: (2, []), 2: (42, ["5"]), 3: (0, []), 4: (0, [])}
+
+
+def test_false_discovery_counts_tokens_once(spark):
+    name = "getElementsByClassName"
+    # ordinary tokens of its length class, so 'name' is no discovery however often it occurs
+    others = ["".join(random.Random(i).choices(WORDS, k=8))[:24] for i in range(100)]
+    texts = [*[f"call {name} now"] * 200, *others]
+    found = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "doc_id").collect()
+    assert 6 < secrets.suspicion(name) < 10 and all(r["spans"] == [] for r in found)
+
+
+def test_a_discovery_shows_among_millions(spark):
+    token = lambda n, score, h: F.array(F.struct(F.lit(secrets._bin(n, score)).cast("int").alias("bin"), h.alias("hash")))
+    ordinary = spark.range(4_000_000).select(token(48, 0.6, F.col("id")).alias("tokens"))
+    scanned = ordinary.unionByName(spark.range(1).select(token(48, 100.0, F.lit(-1).cast("long")).alias("tokens")))
+    least = secrets.thresholds(scanned)[secrets.length_class(48)]
+    assert 2 < least <= secrets._bin(48, 100.0) % secrets.BINS
