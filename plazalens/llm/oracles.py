@@ -105,4 +105,88 @@ select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint
 from d left join words using (rid) left join items using (rid)
 """
 
-ORACLES = {"op4_neardup": op4_neardup, "op5_decontam": op5_decontam, "op8_urls": op8_urls, "op10_warc": op10_warc}
+_CRC_TABLE = """
+crc as materialized (select list_transform(range(256), lambda i : list_reduce(range(8), lambda c, b :
+  case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) t)"""
+
+
+def _crc32(text: str) -> str:
+    """Over the bytes of a text, with the table ``crc``."""
+    numbers = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h : ('0x' || h)::bigint)"
+    return f"xor(list_reduce({numbers}, lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+# Runs of eight at a time up to the subroots, then up to the root; the climb takes a leaf through the same runs
+op11_merkle = f"""
+with recursive {_CRC_TABLE},
+f as (
+  select row_number() over () rid, doc_id, coalesce('=' || lang, '-') tree,
+    {{}} head, text,
+    doc_id is not null and ({_crc32("cast(doc_id as varchar)")}) % 3 = 0 tampered
+  from documents, crc),
+l as (
+  select rid, doc_id, tree, sha256(head || {{}}) leaf, sha256(head || {{}}) changed from (
+    select *, case when tampered then translate(text, '{_UP}', '{_LOW}') else text end other from f)),
+p as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 idx, count(*) over (partition by tree) n from l),
+up(tree, level, idx, n, hash) as (
+  select tree, 0, idx, n, leaf from p
+  union all
+  select tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' order by idx))
+  from up where n > 1 group by tree, level, idx // 8, (n + 7) // 8),
+sub as (select tree, hash, row_number() over (order by encode(tree)) - 1 idx, count(*) over () n from up where n = 1),
+top(tree, level, idx, n, hash) as (
+  select '', 0, idx, n, hash from sub
+  union all
+  select '', level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' order by idx))
+  from top where n > 1 group by level, idx // 8, (n + 7) // 8),
+nodes as (select * from up union all select * from top),
+runs as (select tree, level, idx // 8 run, list(hash order by idx) kids from nodes where n > 1 group by all),
+climb(rid, tree, level, idx, folded, proof) as (
+  select rid, tree, 0, idx, changed, '' from p
+  union all
+  select c.rid, c.tree, c.level + 1, c.idx // 8,
+    sha256(array_to_string(kids[:c.idx % 8], '') || c.folded || array_to_string(kids[c.idx % 8 + 2:], '')),
+    proof || array_to_string(kids[:c.idx % 8], '') || array_to_string(kids[c.idx % 8 + 2:], '')
+  from climb c join runs r on r.tree = c.tree and r.level = c.level and r.run = c.idx // 8),
+low as (select * from climb qualify row_number() over (partition by rid order by level desc) = 1),
+high(rid, level, idx, folded, proof) as (
+  select rid, 0, s.idx, folded, proof from low join sub s using (tree)
+  union all
+  select c.rid, c.level + 1, c.idx // 8,
+    sha256(array_to_string(kids[:c.idx % 8], '') || c.folded || array_to_string(kids[c.idx % 8 + 2:], '')),
+    proof || array_to_string(kids[:c.idx % 8], '') || array_to_string(kids[c.idx % 8 + 2:], '')
+  from high c join runs r on r.tree = '' and r.level = c.level and r.run = c.idx // 8),
+done as (select * from high qualify row_number() over (partition by rid order by level desc) = 1)
+select p.doc_id, p.leaf, s.hash subroot, t.hash root, sha256(d.proof) proof_sha256, d.folded folded_root, d.folded = t.hash verified
+from p join done d using (rid) join sub s using (tree) join (select hash from top where n = 1) t on true
+"""
+
+
+def _sized(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+op11_merkle = op11_merkle.format(
+    " || ".join(_sized(f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", "n_chars")), _sized("text"), _sized("other")
+)
+
+op13_sharding = f"""
+with {_CRC_TABLE},
+x as (
+  select doc_id, coalesce(strlen(text), 0) + 1 size, {_crc32("coalesce(text, '')")} crc,
+    coalesce(('0x' || substr(md5(text), 1, 15))::bigint, -1) k1, ('0x' || substr(md5(coalesce('=' || doc_id, '-')), 1, 15))::bigint k2
+  from documents, crc),
+o as (
+  select *, sum(size) over (order by k1, k2, doc_id nulls first rows unbounded preceding) - size begins,
+    row_number() over (order by k1, k2, doc_id nulls first) - 1 pos, sum(size) over () total from x),
+g as (select *, min(begins) over (partition by k1) g_at, sum(size) over (partition by k1) g_size from o),
+b as (select *, g_size * 25 * 8 <= total whole from g join range(1, 8) b(k) on begins * 8 <= total * k and total * k < (begins + size) * 8),
+c as (select k, case when whole then g_at else begins end c_at, case when whole then g_size else size end c_size, total from b),
+cut as (select k, case when 2 * total * k < 8 * (2 * c_at + c_size) then c_at else c_at + c_size end cut from c),
+s as (select o.*, (select count(*) from cut where cut <= begins) shard from o)
+select doc_id, cast(size as bigint) size, cast(crc as bigint) text_crc32, 'bytes' law, cast(shard as int) shard,
+  cast(pos - min(pos) over (partition by shard) as bigint) slot, cast(null as int) grown_shard
+from s
+"""
+
+ORACLES = {"op4_neardup": op4_neardup, "op5_decontam": op5_decontam, "op8_urls": op8_urls, "op10_warc": op10_warc, "op11_merkle": op11_merkle, "op13_sharding": op13_sharding}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazalens.llm import decontam, language, mixing, neardup, perplexity, pii, secrets, suffixdedup, urls, warc
+from plazalens.llm import decontam, language, merkle, mixing, neardup, perplexity, pii, secrets, sharding, suffixdedup, urls, warc
 from plazalens.llm.common import count_words, table
 
 # The domain rules of the URL query, and the labels whose pages make up the feed of listed URLs
@@ -16,6 +16,7 @@ URL_RULES = [
 LISTED_SITES = "(^|[.])(cheap-pills|casino-win|free-bets|ads-track)[.]"
 # A production run takes its key from a secret store
 PII_KEY = "pseudonyms-2024"
+SHARDS = 8
 CRAWL_DATE = "2024-06-01T00:00:00Z"
 
 
@@ -80,5 +81,14 @@ def op10_warc(spark, sf):
     return warc.derivatives(warc.responses_of_pages(table(spark, sf, "pages"), CRAWL_DATE), "page_id")
 
 
-OPERATORS = (op1_pii, op2_suffixdedup, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc)
+def op11_merkle(spark, sf):
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(table(spark, sf, "documents"), tampered)
+
+
+def op13_sharding(spark, sf):
+    return sharding.shards(table(spark, sf, "documents"), SHARDS)
+
+
+OPERATORS = (op1_pii, op2_suffixdedup, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc, op11_merkle, op13_sharding)
 QUERIES = {f.__name__: f for f in OPERATORS}
