@@ -170,6 +170,31 @@ op11_merkle = op11_merkle.format(
     " || ".join(_sized(f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", "n_chars")), _sized("text"), _sized("other")
 )
 
+op12_collocations = f"""
+with p as (
+  select lang, w from (
+    select coalesce(lang, 'und') lang, regexp_extract_all(unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from documents)),
+g as materialized ({" union all ".join(f"""
+  select lang, {m} m, phrase, count(*) a from (
+    select lang, unnest(list_transform(range(1, len(w) - {m - 2}), lambda i : array_to_string(w[i:i + {m - 1}], ' '))) phrase from p) group by all""" for m in (1, 2, 3, 4))}),
+c as materialized (select lang, m, phrase, a, string_split(phrase, ' ') w from g where m >= 2 and a >= 30),
+parts as (select c.lang, c.phrase, c.a, k, array_to_string(w[:k], ' ') p1, array_to_string(w[k + 1:], ' ') p2 from c, unnest(range(1, m)) z(k)),
+lefts as materialized (select parts.*, g.a l from parts join g on g.lang = parts.lang and g.phrase = p1),
+cuts as materialized (
+  select s.lang, s.phrase, k, l, g.a r, cast(cast(2000000 as hugeint) * s.a // (l + g.a) as bigint) score
+  from lefts s join g on g.lang = s.lang and g.phrase = p2),
+least as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+within as (
+  select lang, array_to_string(w[i:i + n - 1], ' ') phrase, max(a) most
+  from c, unnest(range(2, m)) x(n), unnest(range(1, c.m - n + 2)) y(i) group by all),
+total as (select lang, sum(a) n from g where m = 1 group by lang)
+select c.lang, row_number() over (partition by c.lang order by score desc, c.a desc, encode(c.phrase)) as rank, c.phrase, cast(c.a as bigint) a,
+  cast(l as bigint) l, cast(r as bigint) r, cast(n as bigint) n, score
+from c join least using (lang, phrase) join total using (lang) left join within using (lang, phrase)
+where most is null or 100 * cast(most as hugeint) < 80 * c.a
+qualify rank <= 2000
+"""
+
 op13_sharding = f"""
 with {_CRC_TABLE},
 x as (
@@ -189,4 +214,4 @@ select doc_id, cast(size as bigint) size, cast(crc as bigint) text_crc32, 'bytes
 from s
 """
 
-ORACLES = {"op4_neardup": op4_neardup, "op5_decontam": op5_decontam, "op8_urls": op8_urls, "op10_warc": op10_warc, "op11_merkle": op11_merkle, "op13_sharding": op13_sharding}
+ORACLES = {"op4_neardup": op4_neardup, "op5_decontam": op5_decontam, "op8_urls": op8_urls, "op10_warc": op10_warc, "op11_merkle": op11_merkle, "op12_collocations": op12_collocations, "op13_sharding": op13_sharding}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazalens.llm import decontam, language, merkle, mixing, neardup, perplexity, pii, secrets, sharding, suffixdedup, urls, warc
+from plazalens.llm import collocations, decontam, language, merkle, mixing, neardup, perplexity, pii, secrets, sharding, suffixdedup, urls, warc
 from plazalens.llm.common import count_words, table
 
 # The domain rules of the URL query, and the labels whose pages make up the feed of listed URLs
@@ -86,9 +86,13 @@ def op11_merkle(spark, sf):
     return merkle.manifest(table(spark, sf, "documents"), tampered)
 
 
+def op12_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def op13_sharding(spark, sf):
     return sharding.shards(table(spark, sf, "documents"), SHARDS)
 
 
-OPERATORS = (op1_pii, op2_suffixdedup, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc, op11_merkle, op13_sharding)
+OPERATORS = (op1_pii, op2_suffixdedup, op3_mixing, op4_neardup, op5_decontam, op6_perplexity, op7_language, op8_urls, op9_secrets, op10_warc, op11_merkle, op12_collocations, op13_sharding)
 QUERIES = {f.__name__: f for f in OPERATORS}
