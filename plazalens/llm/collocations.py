@@ -26,8 +26,8 @@ SHARE = 80  # percent of a candidate's occurrences inside a longer one that drop
 TOP = 2000
 SLACK, STEP = 2, 8  # the first threshold is the pair of rank SLACK * TOP, each further one of STEP times that rank
 FILTER_BITS = 1 << 28  # of a filter at most, 16 an entry below that
-PENDING = 1 << 21  # grams a task holds before it sums them up
-CHUNK = 4 << 20
+PENDING = 1 << 20  # grams a task holds before it sums them up
+CHUNK = 1 << 20  # bytes of text worked on at once; a longer text is a chunk of its own
 CHECK_SEED = 1 << 20  # apart from the seeds tried for the first hash
 SPREAD = 256  # parts a language is ranked in before the best of each are ranked together
 
@@ -308,11 +308,9 @@ def word_counts(texts: DataFrame) -> tuple[DataFrame, int]:
     seed = 0
     while True:
         counted = texts.mapInArrow(_count_words(seed), "h long, lang string, word string, n long")
-        word = F.struct("lang", "word")
-        found = counted.groupBy("h").agg(F.sum("n").alias("f"), F.min(word).alias("x"), F.max(word).alias("y"))
-        found = parked(found.select("h", "x.lang", "x.word", "f", (F.col("x") != F.col("y")).alias("mixed")), "words")
-        if found.where("mixed").isEmpty():
-            return found.drop("mixed"), seed
+        found = parked(counted.groupBy("h", "lang", "word").agg(F.sum("n").alias("f")), "words")
+        if found.groupBy("h").count().where("count > 1").isEmpty():
+            return found, seed
         seed += 1
 
 
