@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plazalens.functions.patterns import has_fuzzy_syntax, java_pattern, start_sensitive
+from plazalens.functions.patterns import cut_pattern, has_fuzzy_syntax, java_pattern, start_sensitive
 
 _NO_HITS = "array()"
 
@@ -19,16 +19,19 @@ def first_hit(c: Column, pattern: str) -> Column:
 def find_all(c: Column, pattern: str, mode: str = "auto") -> Column:
     """All matches in the lower-cased text, each search starting on the text left after the last match.
 
-    ``native`` runs ``regexp_extract_all``; it differs from cutting the text only for patterns that look at what
-    precedes them, so ``auto`` takes it unless the pattern holds a boundary, a start anchor or a lookbehind.
-    ``rescan`` cuts literally, in an Arrow worker. Empty matches are not hits in either mode.
+    ``native`` runs ``regexp_extract_all``. A pattern that looks at what precedes it (a boundary, a start anchor, a look-behind) is
+    rewritten for it, so that it sees the end of the last match as the start of the text. ``rescan`` cuts literally, in an Arrow worker;
+    ``auto`` takes it only for patterns that can't be rewritten. Empty matches are not hits in any mode.
     """
     if mode not in ("auto", "native", "rescan"):
         raise ValueError("mode must be 'auto', 'native' or 'rescan'")
     if not pattern:
         return F.when(c.isNotNull(), F.expr(_NO_HITS).cast("array<string>"))
-    if mode == "native" or (mode == "auto" and not start_sensitive(pattern)):
-        found = F.regexp_extract_all(F.lower(c), F.lit(java_pattern(pattern)), F.lit(0))
+    scanned = cut_pattern(pattern) if start_sensitive(pattern) else pattern
+    if mode == "native" and scanned is None:
+        raise ValueError(f"no native form of {pattern!r}")
+    if mode != "rescan" and scanned is not None:
+        found = F.regexp_extract_all(F.lower(c), F.lit(java_pattern(scanned)), F.lit(0))
         return F.filter(found, lambda hit: hit != "")
     return _rescan(pattern)(F.lower(c))
 

@@ -33,5 +33,50 @@ def start_sensitive(pattern: str) -> bool:
     return bool(_START_SENSITIVE.search(pattern.replace("[^", "[")))
 
 
+# Pieces of a pattern: comments and group heads first, then escapes, classes, quantifiers, single characters
+_PIECE = re.compile(
+    r"\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{3}|.)|\[\^?\]?(?:\\.|[^\]\\])*\]|\(\?P=\w+\)|\(\?P<\w+>|\(\?<[=!]|\(\?[:=!>]|\(\?|\("
+    r"|[*+?][+?]?|\{\d*,?\d*\}[+?]?|.",
+    re.S,
+)
+# What stands at the end of the last hit, where the rest of the text begins
+_AT_CUT = {r"\b": r"(?:\G(?=\w)|(?!\G)\b)", r"\B": r"(?:\G(?!\w)|(?!\G)\B)", "^": r"\G", r"\A": r"\G"}
+
+
+def cut_pattern(pattern: str) -> str | None:
+    r"""``pattern`` such that one scan finds what searching the text left after each hit would; None where that can't be written.
+
+    In a scan ``\G`` is the end of the last hit. Anchors and edges take it for the start of the text, and a look-behind may not reach
+    across it: each character it takes must not end there. None for inline flags, comments, conditions, back references in a look-behind,
+    patterns that Python refuses, and those that may match nothing (after an empty match ``\G`` lags behind).
+    """
+    try:
+        re.compile(pattern)
+        if re._parser.parse(pattern).getwidth()[0] == 0:
+            return None
+    except re.error:
+        return None
+    out: list[str] = []
+    groups: list[bool] = []  # whether the open group is a look-behind
+    for piece in _PIECE.findall(pattern):
+        if piece == "(?":
+            return None
+        if piece[0] == "(" and not piece.startswith("(?P="):
+            groups.append(piece in ("(?<=", "(?<!"))
+            out.append(piece)
+        elif piece == ")":
+            groups.pop()
+            out.append(piece)
+        elif piece in _AT_CUT:
+            out.append(_AT_CUT[piece])
+        elif any(groups) and piece[0] not in "|$*+?{" and piece not in (r"\Z",):
+            if piece.startswith("(?P=") or re.fullmatch(r"\\[1-9]\d?", piece):
+                return None
+            out.append(rf"(?:{piece}(?!\G))")
+        else:
+            out.append(piece)
+    return "".join(out)
+
+
 def has_fuzzy_syntax(pattern: str) -> bool:
     return bool(_FUZZY.search(pattern))

@@ -70,8 +70,9 @@ def flatten_posts(
     keywords: DataFrame | None = None,
     only_female: bool = False,
     literal_rows: int = LITERAL_ROWS,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The tidy table of 24 columns. ``keywords`` switches keyword tracking on.
+    """The tidy table of 24 columns. ``keywords`` switches keyword tracking on; ``keep`` names columns to take along.
 
     ``seeds.user_id`` carries no prefix, as in the source file.
     """
@@ -94,12 +95,13 @@ def flatten_posts(
         parse_created_at(F.col("created_at")).alias("datetime"),
         F.col("place").alias("location"),
         _kind(_reply("in_reply_to_user_id").isNotNull(), is_quote).alias("tweet_type"),
+        *keep,
     )
-    return _target_columns(base, seeds, keywords, only_female, literal_rows)
+    return _target_columns(base, seeds, keywords, only_female, literal_rows, keep)
 
 
 def _target_columns(
-    base: DataFrame, seeds: DataFrame, keywords: DataFrame | None, only_female: bool, literal_rows: int
+    base: DataFrame, seeds: DataFrame, keywords: DataFrame | None, only_female: bool, literal_rows: int, keep: tuple[str, ...]
 ) -> DataFrame:
     base, tests = seed_tests(base, seeds, F.col("mentions"), F.col("in_reply_to_user_id"), literal_rows)
     base = base.withColumn("f_seed", F.filter("mentions", tests.is_female)).withColumn(
@@ -123,7 +125,7 @@ def _target_columns(
         .withColumn("directed_at_m", directed_m.cast("int"))
         .withColumn("hashtags", hashtags(F.col("text")))
         .withColumn("valid", computed_once(F.when(mention_target, True).otherwise(keyword_target)))
-        .select(*TIDY.names)
+        .select(*TIDY.names, *keep)
     )
 
 

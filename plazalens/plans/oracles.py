@@ -2,7 +2,7 @@
 
 import string
 
-from plazalens.plans.queries import FOLLOWED, INSULTS, KEYWORDS, MALFORMED_EVERY, POST_INSULTS, SEPARATOR, WORD_PATTERN
+from plazalens.plans.queries import ANCHORED_PATTERN, BATCHES, CAPTURED_AGAIN, FOLLOWED, INSULTS, KEYWORDS, LOADS, MALFORMED_EVERY, POST_INSULTS, SEPARATOR, WORD_PATTERN
 from plazalens.plans.stand_in import GROUPS, VIEWS
 
 _TABLES = ("orders", "lineitem", "supplier", "part", "documents")
@@ -269,6 +269,17 @@ _TEXT = {
     "clean_html_text": _model_text(_HTML),
     "hashtags": _with("txt") + f"select id, {_joined(chr(39).join(['regexp_extract_all(text, ', '#' + chr(92) + 'S+', ')']))} hashtags from txt",
     "find_all": f"with {_DOCS} select id, {_joined(f'regexp_extract_all(text, {_q(WORD_PATTERN)})')} hits from docs",
+    # hits never reach over a blank, so each word is searched and cut for itself; only the text's first word begins at a start
+    "find_all_rescan": f"""with recursive {_DOCS},
+        ws as (select id, unnest(string_split(text, ' ')) w, generate_subscripts(string_split(text, ' '), 1) i from docs),
+        cut(w, first, hits, rest, p) using key (w, first) as (
+          select distinct w, i = 1, '', w, case when i = 1 then {_q(ANCHORED_PATTERN)} else {_q(ANCHORED_PATTERN.removesuffix('|^de'))} end from ws
+          union
+          select w, first, hits || '{SEPARATOR}' || regexp_extract(rest, '^(.*?)(' || p || ')(.*)$', 2),
+            regexp_extract(rest, '^(.*?)(' || p || ')(.*)$', 3), {_q(ANCHORED_PATTERN)}
+          from cut where regexp_matches(rest, p)),
+        h as (select id, coalesce(substr(string_agg(hits, '' order by i), 2), '') hits from ws join cut on cut.w = ws.w and first = (i = 1) group by id)
+        select id, hits from docs left join h using (id)""",
     "first_hit": f"with {_DOCS} select id, regexp_extract(text, {_q(WORD_PATTERN)}) hit from docs",
     "remove_hits": f"""with {_DOCS}, f as (select id, text, regexp_extract_all(text, {_q(WORD_PATTERN)}) hits from docs)
         select id, {_cut('text', 'hits')} filtered from f""",
@@ -399,6 +410,25 @@ _STREAMS = {
           case when t is null then screen_name_orig else 'User' || s.ord end screen_name_orig,
           strftime(t, '%Y-%m-%d %H:%M:%S') updated, ord from seeds s left join l on s.ord::varchar = l.user_id""",
     "stream_hourly_run": _HOURLY["hourly_mentions"],
+    "stream_hourly_batches": _HOURLY["hourly_mentions"],
+    "stream_hourly_hashtags": _HOURLY["hourly_hashtags"],
+    "stream_hourly_insults": _HOURLY["hourly_insults"],
+    "stream_hourly_subcategories": _HOURLY["hourly_subcategories"],
+    "stream_hourly_users": _HOURLY["hourly_users"],
+    "stream_hourly_raw": f"with {_POSTS} select id, datetime, user_id, {_joined('keywords')} keywords, valid from posts",
+    "stream_sources": f"""select (select count(*)::bigint from orders, unnest(range({LOADS})) b(part)
+        where o_orderkey % {LOADS} = part or o_orderkey % {CAPTURED_AGAIN} = part) posts, {LOADS}::bigint commits""",
+    "stream_summary_late": _SUMMARIES["mentions_abuse_summary"],
+    "stream_summary_closed": f"""select * from ({_SUMMARIES['mentions_abuse_summary']}) where "Hour" + interval '1 hour' <= (
+        select max(o_orderdate + (o_orderkey % 24) * interval '1' hour + interval '7' minute) from orders
+        where o_orderkey in (select l_orderkey from lineitem)) - interval '1 hour'""",
+    "stream_dedup_batches": _with("tw", "ab")
+    + "select distinct ab.id, 'p' || strftime(ts, '%Y') period from ab join tw on tw.id = ab.id",
+    "stream_late_posts": _with("tw", "ab", more=f"""p as (
+          select tw.id, ts, case when tw.id % {BATCHES} = {BATCHES - 1} then 0 else tw.id % {BATCHES} end part from tw join ab on tw.id = ab.id),
+        n as (select f.part, max(ts) - interval '1 hour' closed from (select distinct part from p) f join p on p.part < f.part group by f.part)""")
+    + """select date_trunc('hour', ts)::timestamp "Hour", count(*)::bigint posts from p join n using (part)
+         where date_trunc('hour', ts) + interval '1 hour' <= closed group by 1""",
 }
 
 ORACLES: dict[str, str] = _SUMMARIES | _POST_QUERIES | _TEXT | _DICTIONARY | _HOURLY | _STREAMS

@@ -9,14 +9,15 @@ from pyspark.sql.types import ArrayType
 
 from plazalens.functions import find, handles, scores, text, times
 from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, seeds, summaries
-from plazalens.plans import hourly, stand_in
+from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.schemas import FLAT_POST, SUMMARIES
 from plazalens.session import shared_dir
-from plazalens.sinks import tables
+from plazalens.sinks import hours, tables
 from plazalens.sources import files, posts as post_source
 from plazalens.streaming import capture as stream_capture_stage
 from plazalens.streaming import handles as stream_handle_stage
 from plazalens.streaming import hourly as stream_hourly
+from plazalens.streaming import late
 
 # Parameters of the checks
 SEPARATOR = "|"
@@ -46,6 +47,10 @@ POST_INSULTS = [
 FOLLOWED = [str(n) for n in range(1000, 1040)]
 TRACKED = ["@Seed7", "@Seed11", "tont[oó]n"]
 MALFORMED_EVERY = 17
+# Batches of the streamed queries, and which posts a later batch captures again
+LOADS, CAPTURED_AGAIN, BATCHES = 3, 7, 5
+# The stand-in posts are spread over years, a post or so an hour
+UNIT = "year"
 
 
 def _insult_rows(spark: SparkSession, rows: list) -> DataFrame:
@@ -423,16 +428,21 @@ def classify_posts(spark, sf):
 # ---------------------------------------------------------------- streams
 
 
-def _streamed_posts(spark, sf) -> DataFrame:
-    """The relational posts with their arrays, every one written twice, as a stream of files."""
+def _post_facts(spark, sf) -> DataFrame:
+    """The relational posts with their arrays."""
     tw, men, ab, ins = _views(spark, sf, "tw", "men", "ab", "ins")
     names = ins.groupBy("id").agg(F.collect_list("insult").alias("insults_name"))
     seeds_of = men.groupBy("id").agg(F.collect_set(F.col("mention").cast("string")).alias("f_seed"))
-    rows = (
+    return (
         tw.join(ab, "id").join(seeds_of, "id", "left").join(names, "id", "left")
         .select("id", F.col("ts").cast("timestamp").alias("ts"), F.col("rt").isNotNull().alias("is_rt"), "abuse",
                 F.coalesce("f_seed", F.array().cast("array<string>")).alias("f_seed"), "insults_name")
     )
+
+
+def _streamed_posts(spark, sf) -> DataFrame:
+    """The posts, every one written twice, as a stream of files."""
+    rows = _post_facts(spark, sf)
     folder = f"{shared_dir(spark)}/posts-{uuid.uuid4().hex}"
     rows.unionAll(rows).write.parquet(folder)
     return spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
@@ -484,8 +494,88 @@ def stream_hourly_run(spark, sf):
     """The whole hourly run as a stream of raw files; the mention table it leaves."""
     feed = post_source.stream_posts(spark, stand_in.raw_folder(spark, sf))
     dims = _dimensions(spark, sf)
-    out = _run(spark, lambda out, cp: stream_hourly.run_incremental(spark, feed, dims, _mark_abuse, out, cp))
-    return tables.read_table(spark, f"{out}/mentions_and_abuse_summary")
+    out = _run(spark, lambda out, cp: stream_hourly.run_incremental(spark, feed, dims, _mark_abuse, out, cp, unit=UNIT))
+    return hour_load.read_hours(spark, out, "mentions_and_abuse_summary")
+
+
+# Runs over a feed that arrives in parts, posts captured again in later ones; several queries look at what one run has left
+_runs: dict[tuple, str] = {}
+
+
+def _once(name: str) -> Callable:
+    """The folder that a run filled, filled once per application and input."""
+
+    def wrap(fill: Callable) -> Callable:
+        def folder(spark, sf) -> str:
+            key = (name, spark.sparkContext.applicationId, sf)
+            if key not in _runs:
+                path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+                fill(spark, sf, path)
+                _runs[key] = path
+            return f"{_runs[key]}/out"
+
+        return folder
+
+    return wrap
+
+
+@_once("hour-load")
+def _hour_load(spark, sf, path):
+    """Three batches of raw files, then a fresh checkpoint that is given all of them again."""
+    posts, key = stand_in.post_rows(spark, sf), F.col("id")
+    for part in range(LOADS):
+        posts.where((key % LOADS == part) | (key % CAPTURED_AGAIN == part)).write.mode("append").json(f"{path}/raw")
+        for checkpoint in ["checkpoint", "fresh"][: 2 if part == LOADS - 1 else 1]:
+            feed = post_source.stream_posts(spark, f"{path}/raw", source="source_file")
+            run = stream_hourly.run_incremental(spark, feed, _dimensions(spark, sf), _mark_abuse, f"{path}/out", f"{path}/{checkpoint}", unit=UNIT)
+            run.awaitTermination()
+
+
+@_once("late-load")
+def _late_load(spark, sf, path):
+    """Posts of all hours in each of several batches, each post in two of them."""
+    seed = stand_in.view(spark, sf, "seed").select(F.col("mention").cast("string").alias("mention"), "influencer_id")
+    rows, key = stand_in.settle(_post_facts(spark, sf), "facts"), F.col("id")
+    for part in range(BATCHES):
+        rows.where((key % BATCHES == part) | ((key + 1) % BATCHES == part)).write.mode("append").parquet(f"{path}/in")
+        feed = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        late.run_hour_counts(feed, seed, f"{path}/out", f"{path}/checkpoint", unit=UNIT).awaitTermination()
+
+
+def _loaded(table: str) -> Callable:
+    return lambda spark, sf: hour_load.read_hours(spark, _hour_load(spark, sf), table)
+
+
+def stream_hourly_raw(spark, sf):
+    raw = hour_load.read_hours(spark, _hour_load(spark, sf), "raw_data")
+    return plain(raw.select("id", "datetime", "user_id", "keywords", "valid"))
+
+
+def stream_sources(spark, sf):
+    """Posts read from all files and commits that read them; the fresh checkpoint adds none."""
+    sources = hours.HourStore(spark, _hour_load(spark, sf)).read(hours.SOURCES, hours.SOURCE_SCHEMA, merged=False)
+    last = hours.HourStore(spark, _hour_load(spark, sf)).last()
+    return sources.agg(F.sum("posts").alias("posts"), F.lit(last + 1).cast("bigint").alias("commits"))
+
+
+def stream_summary_late(spark, sf):
+    counts = late.hour_counts(spark, _late_load(spark, sf))
+    return counts.withColumn("influencer_id", F.col("influencer_id").cast("bigint"))
+
+
+def stream_summary_closed(spark, sf):
+    counts = late.hour_counts(spark, _late_load(spark, sf), closed_only=True)
+    return counts.withColumn("influencer_id", F.col("influencer_id").cast("bigint"))
+
+
+def stream_late_posts(spark, sf):
+    return late.late_posts(spark, _late_load(spark, sf))
+
+
+def stream_dedup_batches(spark, sf):
+    """The index of seen ids after batches that share posts."""
+    index = hours.HourStore(spark, _late_load(spark, sf)).read(hours.IDS, hours.ID_SCHEMA, merged=False)
+    return index.select(F.col("id").cast("bigint").alias("id"), "period")
 
 
 # ---------------------------------------------------------------- the hourly run on posts
@@ -541,7 +631,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dictionary_lists, dictionary_map, not_in_null_safe, category_table, seed_metadata, distinct_tokens,
         seed_pages, handle_pages, tracking_words, handle_map, seed_upsert, argmax_class, classify_default,
         classify_posts, enriched_posts, model_text, stream_summary, stream_dedup, stream_capture, stream_handles,
-        stream_hourly_run,
+        stream_hourly_run, stream_hourly_raw, stream_sources, stream_summary_late, stream_summary_closed, stream_late_posts,
+        stream_dedup_batches,
     )
 } | {
     "tweet_type": _tidy_columns("id", "tweet_type"),
@@ -566,4 +657,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_insults": _hourly("insults_summary"),
     "hourly_subcategories": _hourly("subc_summary"),
     "hourly_users": _hourly("users_abuse_summary"),
+    "stream_hourly_batches": _loaded("mentions_and_abuse_summary"),
+    "stream_hourly_hashtags": _loaded("hashtags_summary"),
+    "stream_hourly_insults": _loaded("insults_summary"),
+    "stream_hourly_subcategories": _loaded("subc_summary"),
+    "stream_hourly_users": _loaded("users_abuse_summary"),
 }

@@ -32,14 +32,17 @@ def stream_posts(
     schema: StructType = POST,
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
+    source: str | None = None,
 ) -> DataFrame:
-    """The same source as a stream. With ``archive_dir``, files whose batch is committed move there."""
+    """The same source as a stream. With ``archive_dir``, files whose batch is committed move there. ``source`` names a column for the
+    path of a post's file."""
     reader = spark.readStream.schema(schema).options(**_OPTIONS).option("pathGlobFilter", "*.json*")
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _not_archived(reader.json(path), archived=False)
+    posts = _not_archived(reader.json(path), archived=False)
+    return posts.select("*", F.col("_metadata.file_path").alias(source)) if source else posts
 
 
 def parse_lines(lines: DataFrame, column: str, schema: StructType = POST) -> DataFrame:
