@@ -10,6 +10,8 @@ one all versions are. Periods that a change doesn't touch aren't rewritten. A pe
 One writer at a time: a second one that takes the same number fails at its commit.
 """
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,18 +60,18 @@ class HourStore:
         held = self.commits().where(F.col("table") == table)
         return held.groupBy("period").agg(F.max("version").alias("version")) if merged else held.select("period", "version")
 
-    def read(self, table: str, schema: StructType, merged: bool = True, periods: DataFrame | None = None) -> DataFrame:
-        """The table as of its last commit, ``schema`` and ``period``. ``periods`` (period): only those; other folders are not read."""
+    def read(self, table: str, schema: StructType, merged: bool = True, periods: list[str] | None = None) -> DataFrame:
+        """The table as of its last commit, ``schema`` and ``period``. ``periods``: only those; other folders are not read."""
         live = self.live(table, merged)
-        if periods is not None:
-            live = live.join(periods, "period", "left_semi")
         extra = StructType([*schema.fields, StructField("version", IntegerType()), StructField("period", StringType())])
         try:
             rows = self.spark.read.schema(extra).parquet(f"{self.root}/{table}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], extra)
+            return self.spark.createDataFrame([], extra).select(*schema.names, "period")
+        if periods is not None:
+            rows, live = rows.where(F.col("period").isin(periods)), live.where(F.col("period").isin(periods))
         # folders of a table, not rows: the list has a line a period and version
         return rows.join(F.broadcast(live), ["period", "version"]).select(*schema.names, "period")
 
@@ -101,26 +103,29 @@ class Change:
         fields = [rows.schema[c] for c in names] + [StructField("period", StringType())]
         return self.spark.read.schema(StructType(fields)).parquet(self._folder(table))
 
-    def merge(self, table: str, rows: DataFrame, keys: list[str], **measures: Column) -> DataFrame:
-        """Rewrites the periods of ``rows`` (keys, measures, ``period``) with what they held before, grouped by ``keys``; sums unless told
-        otherwise. Returns ``rows`` as they were added."""
+    def merge(self, table: str, rows: DataFrame, keys: list[str], periods: list[str], **measures: Column) -> None:
+        """Adds ``rows`` (keys, measures, ``period``) to a merged table: their ``periods`` are written anew with what they held before,
+        grouped by ``keys``; measures are summed unless told otherwise."""
         names = [c for c in rows.columns if c not in keys and c != "period"]
         schema = StructType([rows.schema[c] for c in rows.columns if c != "period"])
-        new = self.scratch(rows, f"{table}-added")
-        before = self.store.read(table, schema, periods=new.select("period").distinct())
+        before = self.store.read(table, schema, periods=periods)
         aggregates = [measures.get(c, F.sum(c)).alias(c) for c in names]
-        whole = before.unionByName(new).groupBy("period", *keys).agg(*aggregates)
+        whole = before.unionByName(rows.select(*schema.names, "period")).groupBy("period", *keys).agg(*aggregates)
         self.append(table, whole.select(*schema.names, "period"))
-        return new
 
     def commit(self) -> None:
         """Makes the version count, in one file. Fails if another writer has taken the number."""
-        empty = self.spark.createDataFrame([], "table string, period string")
-        held = empty.unionByName(self.spark.createDataFrame([("", "")], empty.schema))  # a change without rows is a commit too
+        held = [("", "")]  # a change without rows is a commit too
         for table in self.tables:
-            periods = self.spark.read.schema("period string").parquet(self._folder(table)).distinct()
-            held = held.unionByName(periods.select(F.lit(table).alias("table"), "period"))
-        held.coalesce(1).write.mode("error").parquet(f"{self.store.root}/commits/version={self.version}")
+            files = self.spark.read.schema("period string").parquet(self._folder(table)).inputFiles()
+            held += sorted({(table, m[1]) for m in (re.search("/period=([^/]+)/", f) for f in files) if m})
+        rows = self.spark.createDataFrame(held, "table string, period string")
+        rows.coalesce(1).write.mode("error").parquet(f"{self.store.root}/commits/version={self.version}")
+
+
+def periods_of(rows: DataFrame) -> list[str]:
+    """The periods of a batch: as many as it spans, not as many as it has rows."""
+    return [r[0] for r in rows.select("period").distinct().collect()]
 
 
 # ---------------------------------------------------------------- what was seen before
@@ -130,36 +135,36 @@ def _bit(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
 
-def maybe_seen(store: HourStore, ids: DataFrame) -> DataFrame:
+def maybe_seen(store: HourStore, ids: DataFrame, periods: list[str]) -> DataFrame:
     """Of ``ids`` (period, id) those whose bit is set in their period's filter: all seen ones, and few others."""
     bit = F.col("_bit")
     placed = ids.withColumn("_bit", _bit(F.col("id"))).select(
         "period", "id", F.expr(f"_bit div {GROUP_BITS}").alias("bits_group"), (bit % GROUP_BITS).cast("int").alias("_at")
     )
-    filters = store.read(FILTERS, FILTER_SCHEMA, periods=ids.select("period").distinct())
+    filters = store.read(FILTERS, FILTER_SCHEMA, periods=periods)
     byte = F.conv(F.hex(F.col("bits").substr(F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.get(F.array(*[byte.bitwiseAND(1 << j) for j in range(8)]), F.col("_at") % 8) != 0
     return placed.join(filters, ["period", "bits_group"]).where(is_set).select("period", "id")
 
 
-def unseen(store: HourStore, posts: DataFrame) -> DataFrame:
+def unseen(store: HourStore, posts: DataFrame, periods: list[str]) -> DataFrame:
     """Posts whose id no earlier commit holds for their period. ``posts`` has id and period and each id once; those without an id all stay.
 
     Only ids that pass the filter meet the index, and only in the folders of their periods.
     """
     ids = posts.where(F.col("id").isNotNull()).select("period", F.col("id").cast("string").alias("id"))
-    maybe = maybe_seen(store, ids)
-    index = store.read(IDS, ID_SCHEMA, merged=False, periods=ids.select("period").distinct())
+    maybe = maybe_seen(store, ids, periods)
+    index = store.read(IDS, ID_SCHEMA, merged=False, periods=periods)
     seen = index.join(maybe, ["period", "id"], "left_semi").select(F.col("period").alias("_h"), F.col("id").alias("_i"))
     return posts.join(seen, (F.col("period") == F.col("_h")) & (F.col("id").cast("string") == F.col("_i")), "left_anti")
 
 
-def remember(change: Change, posts: DataFrame) -> None:
+def remember(change: Change, posts: DataFrame, periods: list[str]) -> None:
     """Adds the ids of ``posts`` (id, period) to the index and to the filters of their periods."""
     ids = change.append(IDS, posts.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("id"), "period"))
     bits = ids.withColumn("_bit", _bit(F.col("id"))).groupBy("period", F.expr(f"_bit div {GROUP_BITS}").alias("bits_group"))
     rows = bits.agg(F.bitmap_construct_agg(F.col("_bit") % GROUP_BITS).alias("bits"))
-    change.merge(FILTERS, rows.select("bits_group", "bits", "period"), ["bits_group"], bits=F.bitmap_or_agg("bits"))
+    change.merge(FILTERS, rows.select("bits_group", "bits", "period"), ["bits_group"], periods, bits=F.bitmap_or_agg("bits"))
 
 
 def unread(store: HourStore, rows: DataFrame, source: str) -> DataFrame:

@@ -9,7 +9,7 @@ from plazalens.functions.times import as_utc, hour_of
 from plazalens.operators.dedup import drop_repeated_posts
 from plazalens.operators.summaries import mentions_abuse_of_posts
 from plazalens.schemas import SUMMARIES
-from plazalens.sinks.hours import SOURCES, HourStore, period_of, remember, unread, unseen
+from plazalens.sinks.hours import SOURCES, HourStore, period_of, periods_of, remember, unread, unseen
 
 COUNTS, LATE, PROGRESS = "mentions_and_abuse_summary", "late_posts", "progress"
 _LATE = StructType([StructField("Hour", TimestampNTZType()), StructField("posts", LongType())])
@@ -43,17 +43,18 @@ def count_batch(
         return None
     none = F.lit("none").alias("period")
     change.append(SOURCES, rows.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("posts")).select("*", none))
-    fresh = change.scratch(unseen(store, drop_repeated_posts(rows.drop(source))), "fresh")
+    periods = periods_of(rows)
+    fresh = change.scratch(unseen(store, drop_repeated_posts(rows.drop(source)), periods), "fresh")
     # the summary tells retweets by the author they repeat
     facts = fresh.select("datetime", F.when(F.col("is_rt"), "rt").alias("rt_from_user_id"), "abuse", "insults_name", F.col(seed).alias("f_seed"))
     counts = mentions_abuse_of_posts(facts, influencers)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARIES[COUNTS].fields]
-    change.merge(COUNTS, counts.select(*typed, period_of(F.col("Hour"), unit).alias("period")), ["Hour", "influencer_id"])
+    change.merge(COUNTS, counts.select(*typed, period_of(F.col("Hour"), unit).alias("period")), ["Hour", "influencer_id"], periods)
     over = F.col("Hour") + F.expr("interval 1 hour") <= F.lit(closed).cast("timestamp_ntz")
     late = fresh.where(over).groupBy("Hour").agg(F.count("*").alias("posts"))
     change.append(LATE, late.select("*", period_of(F.col("Hour"), unit).alias("period")))
     change.append(PROGRESS, fresh.agg(F.max("datetime").alias("newest")).select("*", none))
-    remember(change, fresh.select("id", "period"))
+    remember(change, fresh.select("id", "period"), periods)
     change.commit()
     return change.version
 
