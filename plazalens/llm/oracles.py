@@ -89,7 +89,7 @@ from w join c using (rid) left join n using (rid)
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 op5_decontam = f"""
-with i as (select item_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') w from benchmark where item_id is not null),
+with i as (select item_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') w from benchmark),
 g as (
   select distinct item_id, least(len(w), 10) n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') g
   from i, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(p) where len(w) > 0),
@@ -99,7 +99,7 @@ h as (
   from d, (select distinct n from g) z, unnest(range(1, greatest(len(w) - z.n + 2, 1))) t(p)),
 m as (select h.rid, h.p, h.n, g.item_id from h join g on g.n = h.n and g.g = h.g),
 words as (select rid, count(distinct q) n_hit from m, unnest(range(p, p + n)) t(q) group by rid),
-items as (select rid, list_sort(list(distinct cast(item_id as varchar))) items from m group by rid)
+items as (select rid, list_sort(list(distinct cast(item_id as varchar)) filter (item_id is not null)) items from m group by rid)
 select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit, cast(coalesce(len(items), 0) as bigint) n_items,
   sha256(coalesce(array_to_string(items, ','), '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from d left join words using (rid) left join items using (rid)
