@@ -1,6 +1,9 @@
 """Session settings and the shared folder."""
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +42,20 @@ def shared_dir(spark: SparkSession) -> str:
     if key not in _local_dirs:
         _local_dirs[key] = tempfile.mkdtemp(prefix="plazalens-")
     return _local_dirs[key]
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package's source to the Python workers, once per application: they need it wherever the driver was started from."""
+    if (key := spark.sparkContext.applicationId) in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="plazalens-"), "plazalens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    # read by the driver alone, which hands it to the executors
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(key)
