@@ -335,6 +335,8 @@ _DICTIONARY = {
          where "Categoría" is null or "Categoría" <> 'Criticas al ejercicio de su profesión'""",
     "seed_metadata": f"""with {_SEEDS} select screen_name, s_name "Nombre", tipo "Tipo", fc followers_count, fr friends_count,
         'id_' || user_id user_id from seeds""",
+    "seed_files": f"""with {_SEEDS} select user_id, screen_name, tipo "Tipo", fc followers_count,
+        (row_number() over (order by ord) - 1)::bigint ord from seeds""",
     "distinct_tokens": f"with {_SEEDS} select distinct tipo token from seeds",
     "seed_pages": """select c_custkey::varchar user_id, c_custkey ord,
         ((row_number() over (order by c_custkey) - 1) // 400)::bigint page_no from customer where c_custkey % 13 <> 0""",

@@ -13,7 +13,7 @@ from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.schemas import FLAT_POST, SUMMARIES
 from plazalens.session import shared_dir
 from plazalens.sinks import hours, tables
-from plazalens.sources import files, posts as post_source
+from plazalens.sources import dimensions, files, posts as post_source
 from plazalens.streaming import capture as stream_capture_stage
 from plazalens.streaming import handles as stream_handle_stage
 from plazalens.streaming import hourly as stream_hourly
@@ -47,6 +47,7 @@ POST_INSULTS = [
 FOLLOWED = [str(n) for n in range(1000, 1040)]
 TRACKED = ["@Seed7", "@Seed11", "tont[oó]n"]
 MALFORMED_EVERY = 17
+SEED_FILES = 5
 # Batches of the streamed queries, and which posts a later batch captures again
 LOADS, CAPTURED_AGAIN, BATCHES = 3, 7, 5
 # The stand-in posts are spread over years, a post or so an hour
@@ -351,6 +352,14 @@ def seed_metadata(spark, sf):
     return tables.seed_table(stand_in.seeds(spark, sf))
 
 
+def seed_files(spark, sf):
+    """The seed list as several CSV files without an order column, read back in the order of files and rows."""
+    folder = f"{shared_dir(spark)}/seed-files-{uuid.uuid4().hex}"
+    ordered = stand_in.seeds(spark, sf).repartitionByRange(SEED_FILES, "ord").sortWithinPartitions("ord")
+    tables.write_csv(ordered.select("screen_name", "user_id", "Tipo", "followers_count"), folder)
+    return dimensions.read_seeds(spark, folder).select("user_id", "screen_name", "Tipo", "followers_count", "ord")
+
+
 def distinct_tokens(spark, sf):
     return seeds.as_tokens(stand_in.seeds(spark, sf)).select("token").distinct()
 
@@ -628,7 +637,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         directed_posts, post_counts, dedup_posts, quarantine, capture_filter, capture_filter_flat, capture_enrich,
         created_at_parse, hour_trunc, v2_flatten, file_hours, clean_html_text, remove_hits, token_map,
         token_map_joined, mention_tokens, first_match, document_keywords, extract_insults, extract_male_insults,
-        dictionary_lists, dictionary_map, not_in_null_safe, category_table, seed_metadata, distinct_tokens,
+        dictionary_lists, dictionary_map, not_in_null_safe, category_table, seed_metadata, seed_files, distinct_tokens,
         seed_pages, handle_pages, tracking_words, handle_map, seed_upsert, argmax_class, classify_default,
         classify_posts, enriched_posts, model_text, stream_summary, stream_dedup, stream_capture, stream_handles,
         stream_hourly_run, stream_hourly_raw, stream_sources, stream_summary_late, stream_summary_closed, stream_late_posts,

@@ -34,3 +34,26 @@ def test_stream_keeps_posts_without_id(spark, tmp_path):
     query = once.writeStream.format("parquet").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/c").start(f"{tmp_path}/out")
     query.awaitTermination()
     assert sorted(str(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["1", "2", "None", "None"]
+
+
+def test_rows_of_several_files_keep_their_order(spark, tmp_path):
+    from plazalens.sources import dimensions
+
+    folder = tmp_path / "words"
+    folder.mkdir()
+    words = [[f"w{i}_{j}" + ("\nline" if j % 5 == 0 else "") for j in range(n)] for i, n in enumerate((3, 400, 1, 0, 50))]
+    for i, part in enumerate(words):
+        (folder / f"part-{i}.csv").write_text("word\n" + "".join(f'"{w}"\n' for w in part))
+    found = dimensions.read_keywords(spark, str(folder)).orderBy("ord").collect()
+    assert [(r["word"], r["ord"]) for r in found] == list(zip([w for part in words for w in part], range(454)))
+    assert dimensions.read_categories(spark, str(folder)).columns == ["Insulto", "Insulto_gendered", "Categoría", "Subcategoría"]
+    # several blocks of one file
+    ordered = spark.range(0, 20000, 1, 1).selectExpr("concat('w', id) word")
+    ordered.write.option("parquet.block.size", 16384).parquet(str(tmp_path / "blocks"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = dimensions.read_keywords(spark, str(tmp_path / "blocks"), "parquet").orderBy("ord").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["word"] for r in found] == [f"w{i}" for i in range(20000)] and found[-1]["ord"] == 19999
