@@ -302,6 +302,15 @@ _TEXT = {
         m2 as (select *, regexp_extract_all(text_filtered, {_lists(INSULTS)['male']}) male_insults from m1)
         select id, insults_search, {_joined('not_m')} not_m, text_filtered, {_joined('male_insults')} male_insults
         from m2 where len(male_insults) > 0""",
+    "classify_words": _with("txt", more=_MODEL_TEXTS) + r""", w as (
+          select id, unnest(regexp_extract_all(lower(cleaned), '[^\x20\x09-\x0D]+')) word from mt),
+        d as (select mt.id, toxic from mt join labels on doc_id = mt.id where toxic in (0, 1)),
+        c as (select word, count(*) filter (toxic = 0) n0, count(*) filter (toxic = 1) n1 from d join w using (id) group by word),
+        t as (select sum(n0) t0, sum(n1) t1, count(*) v from c),
+        m as (select word, round(1000000 * (ln((n1 + 1) / (t1 + v)::double) - ln((n0 + 1) / (t0 + v)::double)))::bigint weight from c, t),
+        p as (select round(1000000 * ln(count(*) filter (toxic = 1) / (count(*) filter (toxic = 0))::double))::bigint prior from d),
+        s as (select id, sum(weight) score from w join m using (word) group by id)
+        select mt.id, case when cleaned is not null then (coalesce(score, 0) + prior > 0)::int end abuse from mt left join s using (id), p""",
     "classify_posts": """select doc_id id, (case when length(text) % 7 >= greatest(length(text) % 5, length(text) % 3) then 0
         when length(text) % 5 >= length(text) % 3 then 1 else 2 end)::int abuse from documents""",
     "argmax_class": "select vec_id, (list_position(embedding, list_max(embedding)) - 1)::int \"class\" from embeddings",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from plazalens.functions import find, handles, scores, text, times
-from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, seeds, summaries
+from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, seeds, summaries, word_model
 from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.schemas import FLAT_POST, SUMMARIES
 from plazalens.session import shared_dir
@@ -425,6 +425,14 @@ def classify_default(spark, sf):
     return classify.classify_with_model(cleaned, model).select("id", "abuse")
 
 
+def classify_words(spark, sf):
+    """The word model, fitted and applied on the same cleaned text."""
+    (labels,) = stand_in.load(spark, sf, "labels")
+    cleaned = stand_in.settle(_texts(spark, sf).select("id", text.clean_model_text(F.col("text"), "xml").alias("text")), "cleaned")
+    labelled = cleaned.join(labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")), "id")
+    return word_model.classify_words(cleaned, word_model.fit_word_model(labelled)).select("id", "abuse")
+
+
 def classify_posts(spark, sf):
     """A scorer brought by the caller, on whole texts: it scores by text length, so that SQL can follow."""
 
@@ -639,7 +647,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_map_joined, mention_tokens, first_match, document_keywords, extract_insults, extract_male_insults,
         dictionary_lists, dictionary_map, not_in_null_safe, category_table, seed_metadata, seed_files, distinct_tokens,
         seed_pages, handle_pages, tracking_words, handle_map, seed_upsert, argmax_class, classify_default,
-        classify_posts, enriched_posts, model_text, stream_summary, stream_dedup, stream_capture, stream_handles,
+        classify_words, classify_posts, enriched_posts, model_text, stream_summary, stream_dedup, stream_capture, stream_handles,
         stream_hourly_run, stream_hourly_raw, stream_sources, stream_summary_late, stream_summary_closed, stream_late_posts,
         stream_dedup_batches,
     )

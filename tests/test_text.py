@@ -118,3 +118,24 @@ def test_handles(spark):
     assert run(spark, texts, lambda c: handles.replace_handles(c, found.tokens, found.token_of)) == [rule(t) for t in texts]
     got = run(spark, ["@Seed1 @seed2. @other x"], lambda c: handles.matched_handles(c, found.tokens, found.token_of))[0]
     assert (got.mayor, got.press, got.USER) == (["@Seed1"], ["@seed2"], ["@other"])
+
+
+def test_word_model(spark, monkeypatch):
+    from math import log
+
+    from plazalens.operators import dims, word_model
+
+    rows = [("bad Bad dog", 1), ("bad cat", 1), ("good dog", 0), ("good\tgood cat", 0), ("nice", 0), (None, 0), ("odd", None), ("odd", 7)]
+    model = word_model.fit_word_model(spark.createDataFrame(rows, "text string, label int"))
+    n1, n0 = {"bad": 3, "dog": 1, "cat": 1}, {"good": 3, "dog": 1, "cat": 1, "nice": 1}
+    want = {w: round(1e6 * (log((n1.get(w, 0) + 1) / (5 + 5)) - log((n0.get(w, 0) + 1) / (6 + 5)))) for w in {*n1, *n0}}
+    assert {r["word"]: r["weight"] for r in model.weights.collect()} == want and model.prior == round(1e6 * log(2 / 4))
+    texts = [(1, "BAD dog"), (2, "good bad"), (3, "never seen"), (4, None), (5, ""), (None, "BAD dog"), (1, "BAD dog")]
+    posts = spark.createDataFrame(texts, "id long, text string")
+    score = lambda t: sum(want.get(w, 0) for w in t.lower().split()) + model.prior
+    expected = sorted(((i, t, None if t is None else int(score(t) > 0)) for i, t in texts), key=str)
+    for rows_broadcast in (dims.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(word_model, "left_join_dimension", lambda *a, **k: dims.left_join_dimension(*a, **k, broadcast_rows=rows_broadcast))
+        assert sorted(map(tuple, word_model.classify_words(posts, model).collect()), key=str) == expected
+    alone = word_model.fit_word_model(spark.createDataFrame(rows[:2], "text string, label int"))
+    assert {r["abuse"] for r in word_model.classify_words(posts, alone).collect()} == {0, None}
