@@ -1,5 +1,7 @@
 """Pattern search over text columns."""
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,23 +35,30 @@ def find_all(c: Column, pattern: str, mode: str = "auto") -> Column:
     if mode != "rescan" and scanned is not None:
         found = F.regexp_extract_all(F.lower(c), F.lit(java_pattern(scanned)), F.lit(0))
         return F.filter(found, lambda hit: hit != "")
-    return _rescan(pattern)(F.lower(c))
+    return rescan(F.lower(c), F.lit(pattern))
+
 
+def rescan(c: Column, pattern: Column, fuzzy: bool = False) -> Column:
+    """Hits of each row's own ``pattern``, the text cut behind each hit in an Arrow worker. With ``fuzzy`` patterns may be approximate;
+    the first hit that needs more than one edit of a kind ends the search."""
 
-def _rescan(pattern: str):
     @F.pandas_udf("array<string>")
-    def rescan(texts: pd.Series) -> pd.Series:
+    def cut(texts: pd.Series, patterns: pd.Series) -> pd.Series:
         import re
+        from functools import lru_cache
+
+        import regex
 
-        search = re.compile(pattern).search
+        compiled = lru_cache(maxsize=1000)(regex.compile if fuzzy else re.compile)
 
-        def hits(text):
+        def hits(text, pattern):
             if text is None:
                 return None
             out = []
+            search = compiled(pattern).search
             while text:
                 m = search(text)
-                if m is None:
+                if m is None or fuzzy and max(m.fuzzy_counts) > 1:
                     break
                 if m.group(0):
                     out.append(m.group(0))
@@ -58,9 +67,9 @@ def _rescan(pattern: str):
                     text = text[m.end() + 1:]
             return out
 
-        return texts.map(hits)
+        return pd.Series([hits(t, p) for t, p in zip(texts, patterns)], dtype=object)
 
-    return rescan
+    return cut(c, pattern)
 
 
 def fuzzy_find_all(c: Column, pattern: str) -> Column:
@@ -70,31 +79,7 @@ def fuzzy_find_all(c: Column, pattern: str) -> Column:
     """
     if not pattern or not has_fuzzy_syntax(pattern):
         return find_all(c, pattern)
-
-    @F.pandas_udf("array<string>")
-    def fuzzy(texts: pd.Series) -> pd.Series:
-        import regex
-
-        search = regex.compile(pattern).search
-
-        def hits(text):
-            if text is None:
-                return None
-            out = []
-            while text:
-                m = search(text)
-                if m is None or max(m.fuzzy_counts) > 1:
-                    break
-                if m.group(0):
-                    out.append(m.group(0))
-                    text = text[m.end():]
-                else:
-                    text = text[m.end() + 1:]
-            return out
-
-        return texts.map(hits)
-
-    return fuzzy(F.lower(c))
+    return rescan(F.lower(c), F.lit(pattern), fuzzy=True)
 
 
 def remove_hits(c: Column, hits: Column) -> Column:
@@ -105,12 +90,41 @@ def remove_hits(c: Column, hits: Column) -> Column:
     return F.regexp_replace(c, F.array_join(quoted, "|"), F.lit(""))
 
 
+# Above this many entries a branch for each would bloat the plan and its generated code; the list becomes one value of the plan.
+MAX_BRANCHES = 500
+
+
+def _as_value(entries: list[tuple[str, str | None]]) -> Column:
+    rows = [{"java": java_pattern(pattern), "name": name} for pattern, name in entries]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<java:string,name:string>>")
+
+
+def matches(c: Column, java: Column) -> Column:
+    """Whether ``c`` holds a match of a pattern that is a column itself."""
+    return F.call_function("rlike", c, java)
+
+
+def first_match(c: Column, java: Column) -> Column:
+    return F.call_function("regexp_extract", c, java, F.lit(0))
+
+
+def hits_of(c: Column, entries: Column) -> Column:
+    """The first match in ``c`` of each of the ``entries`` (an array with ``java``) that has one."""
+    return F.transform(F.filter(entries, lambda e: matches(c, e["java"])), lambda e: first_match(c, e["java"]))
+
+
+def names_of(words: Column, entries: Column) -> Column:
+    """``name`` of the first of the ``entries`` (an array with ``java`` and ``name``) that matches each word."""
+    named = F.transform(words, lambda w: F.get(F.filter(entries, lambda e: matches(w, e["java"])), F.lit(0))["name"])
+    return F.array_compact(named)
+
+
 def keyword_hits(c: Column, words: list[str]) -> Column:
-    """For each keyword pattern, in order, its first match in ``c``."""
+    """For each keyword pattern, in order, its first match in ``c``; none in a null text."""
     if not words:
         return F.when(c.isNotNull(), F.expr(_NO_HITS).cast("array<string>"))
     if len(words) > MAX_BRANCHES:
-        return _keyword_hits_arrow(words)(c)
+        return hits_of(c, _as_value([(w, None) for w in words]))
     return F.array_compact(F.array(*[_one_keyword(c, w) for w in words]))
 
 
@@ -122,33 +136,12 @@ def _one_keyword(c: Column, word: str) -> Column:
     return F.when(c.rlike(p), F.regexp_extract(c, p, 0))
 
 
-def _keyword_hits_arrow(words: list[str]):
-    @F.pandas_udf("array<string>")
-    def search_all(texts: pd.Series) -> pd.Series:
-        import re
-
-        compiled = [re.compile(w) for w in words]
-
-        def hits(text):
-            if text is None:
-                return None
-            return [m.group(0) for m in (p.search(text) for p in compiled) if m]
-
-        return texts.map(hits)
-
-    return search_all
-
-
-# Above this many entries a CASE chain bloats the plan and its generated code; an Arrow worker takes over.
-MAX_BRANCHES = 500
-
-
 def first_names(words: Column, entries: list[tuple[str, str]]) -> Column:
     """Name of the first dictionary entry matching each word, in word order; words without a match drop out."""
     if not entries:
         return F.when(words.isNotNull(), F.expr(_NO_HITS).cast("array<string>"))
     if len(entries) > MAX_BRANCHES:
-        return _first_names_arrow(entries)(words)
+        return names_of(words, _as_value(entries))
 
     def name_of(w: Column) -> Column:
         chain = F.when(w.rlike(java_pattern(entries[0][0])), F.lit(entries[0][1]))
@@ -157,25 +150,3 @@ def first_names(words: Column, entries: list[tuple[str, str]]) -> Column:
         return chain
 
     return F.array_compact(F.transform(words, name_of))
-
-
-def _first_names_arrow(entries: list[tuple[str, str]]):
-    @F.pandas_udf("array<string>")
-    def names(lists: pd.Series) -> pd.Series:
-        import re
-        from functools import lru_cache
-
-        compiled = [(re.compile(p), n) for p, n in entries]
-
-        @lru_cache(maxsize=100_000)
-        def name_of(word):
-            return next((n for p, n in compiled if p.search(word)), None)
-
-        def all_names(words):
-            if words is None:
-                return None
-            return [n for n in map(name_of, words) if n is not None]
-
-        return lists.map(all_names)
-
-    return names

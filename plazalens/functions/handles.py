@@ -71,12 +71,23 @@ def _swap(c: Column, token_of) -> Column:
     return F.array_join(F.transform(_pieces(c), swap), "")
 
 
+def swap_handles(c: Column, token_of) -> Column:
+    """Text with known handles replaced by their token and the others by the common one, without ``@``."""
+    return F.regexp_replace(_swap(c, token_of), f"@[^{SPACE}]+", OTHER_TOKEN)
+
+
+def mark_tokens(c: Column, tokens: Column) -> Column:
+    """``@`` put in front of every occurrence of a token, one token of the array after the other, the common one last."""
+    every = F.concat(tokens, F.array(F.lit(OTHER_TOKEN)))
+    return F.aggregate(every, c, lambda text, token: F.replace(text, token, F.concat(F.lit("@"), token)))
+
+
 def replace_handles(c: Column, tokens: list[str], token_of) -> Column:
     """Text with handles replaced; ``token_of`` maps a lower-cased handle column to its token or null.
 
     The last step puts the ``@`` back in front of every occurrence of a token, ordinary words included.
     """
-    out = F.regexp_replace(_swap(c, token_of), f"@[^{SPACE}]+", OTHER_TOKEN)
+    out = swap_handles(c, token_of)
     for token in [*tokens, OTHER_TOKEN]:
         out = F.replace(out, F.lit(token), F.lit("@" + token))
     return out

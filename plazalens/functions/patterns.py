@@ -80,3 +80,43 @@ def cut_pattern(pattern: str) -> str | None:
 
 def has_fuzzy_syntax(pattern: str) -> bool:
     return bool(_FUZZY.search(pattern))
+
+
+def needed_strings(pattern: str) -> list[str]:
+    """Strings of which each match of ``pattern`` contains at least one; ``[""]`` where none can be told.
+
+    Of the parts that a match must have, the one whose shortest string is longest counts. Approximate patterns, patterns that ignore case
+    and those that Python refuses need nothing.
+    """
+    if has_fuzzy_syntax(pattern):
+        return [""]
+    try:
+        tree = re._parser.parse(pattern)
+    except re.error:
+        return [""]
+    return [""] if tree.state.flags & re.IGNORECASE else _needed(tree) or [""]
+
+
+def _needed(items) -> list[str]:
+    choices: list[list[str]] = []
+    run = ""
+    for op, arg in items:
+        kind = str(op)
+        if kind == "LITERAL":
+            run += chr(arg)
+            continue
+        choices.append([run])
+        run = ""
+        if kind == "SUBPATTERN" and not arg[1]:
+            choices.append(_needed(arg[3]))
+        elif kind == "ATOMIC_GROUP":
+            choices.append(_needed(arg))
+        elif kind == "BRANCH":
+            each = [_needed(branch) for branch in arg[1]]
+            choices.append(list(dict.fromkeys(s for found in each for s in found)) if all(each) else [])
+        elif kind == "IN" and all(str(o) == "LITERAL" for o, _ in arg):
+            choices.append([chr(c) for _, c in arg])
+        elif kind.endswith("_REPEAT") and arg[0] > 0:
+            choices.append(_needed(arg[2]))
+    choices.append([run])
+    return max((c for c in choices if c and all(c)), key=lambda c: (min(map(len, c)), -len(c)), default=[])

@@ -5,8 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalens.operators.dims import small_rows
-from plazalens.operators.flatten import MAX_PATTERNS
+from plazalens.operators.dims import at_most
+from plazalens.operators.pattern_index import PLAN_PATTERNS, CandidateSearch, PatternIndex, PlanSearch, attach_candidates, pattern_index
 
 # Target codes
 EXCLUDED = "Exclude"
@@ -62,12 +62,37 @@ class Dictionary:
     exclusions: str
     entries: list[tuple[str, str]]
 
+    def on(self, posts: DataFrame, text: Column) -> tuple[DataFrame, PlanSearch]:
+        """The posts, and the search to run on ``text``."""
+        return posts, PlanSearch({name: getattr(self, name) for name in subsets()}, self.entries)
 
-def compile_dictionary(insults: DataFrame) -> Dictionary:
+
+@dataclass
+class IndexedDictionary:
+    """The same for a dictionary of any length: each text is searched with those patterns that it may match."""
+
+    index: PatternIndex
+    column: str = "_candidates"
+
+    def on(self, posts: DataFrame, text: Column) -> tuple[DataFrame, CandidateSearch]:
+        """The posts with the candidates of the lower-cased ``text`` (column ``_candidates``, replaced if it is there), and the search."""
+        return attach_candidates(posts.drop(self.column), F.lower(text), self.index, self.column), CandidateSearch(self.column, self.index.in_scan)
+
+
+def index_dictionary(insults: DataFrame) -> IndexedDictionary:
+    """Each list's patterns stand on their own here: a numbered back reference counts the groups of its own pattern only."""
+    rows = insults.where(F.col("regex3").isNotNull())
+    named = pattern_map(rows).select(F.lit("entries").alias("list"), "ord", F.col("regex3").alias("pattern"), "name")
+    lists = F.array_compact(F.array(*[F.when(keep, F.lit(name)) for name, keep in subsets().items()]))
+    listed = rows.select(F.explode(lists).alias("list"), "ord", F.col("regex3").alias("pattern"), F.lit(None).cast("string").alias("name"))
+    return IndexedDictionary(pattern_index(listed.unionByName(named)))
+
+
+def compile_dictionary(insults: DataFrame, plan_patterns: int = PLAN_PATTERNS) -> Dictionary | IndexedDictionary:
+    """Up to ``plan_patterns`` patterns are written into the plan, more are indexed; what is found is the same."""
     kept = insults.select("ord", "regex3", "target", "gender", "orig_name").where(F.col("regex3").isNotNull())
-    rows = small_rows(kept, MAX_PATTERNS)
-    if rows is None:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns; split the dictionary and run once per part")
+    if not at_most(kept, plan_patterns):
+        return index_dictionary(kept)
     lists = pattern_lists(kept).first()
     entries = [(r.regex3, r.name) for r in pattern_map(kept).orderBy("ord").collect()]
     return Dictionary(**lists.asDict(), entries=entries)

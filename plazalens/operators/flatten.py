@@ -3,10 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalens.functions.find import keyword_hits
 from plazalens.functions.text import clean_text, computed_once, hashtags
 from plazalens.functions.times import parse_created_at
-from plazalens.operators.dims import LITERAL_ROWS, small_rows
+from plazalens.operators.dims import LITERAL_ROWS
+from plazalens.operators.pattern_index import attach_keywords
 from plazalens.operators.seeds import prefixed, seed_tests
 from plazalens.schemas import TIDY
 
@@ -115,13 +115,13 @@ def _target_columns(
     mention_target = F.when(reply, tests.is_seed_id(F.col("in_reply_to_user_id"))).otherwise(directed_f | directed_m)
     base = base.withColumn("text_clean", clean_text(F.col("text")))
     if keywords is None:
-        found, keyword_target = F.expr("array()").cast("array<string>"), F.lit(None).cast("boolean")
+        base = base.withColumn("keywords", F.expr("array()").cast("array<string>"))
+        keyword_target = F.lit(None).cast("boolean")
     else:
-        found = keyword_hits(F.col("text_clean"), ordered_words(keywords))
+        base = attach_keywords(base, "text_clean", keywords)
         keyword_target = F.size("keywords") > 0
     return (
-        base.withColumn("keywords", found)
-        .withColumn("directed_at_f", directed_f.cast("int"))
+        base.withColumn("directed_at_f", directed_f.cast("int"))
         .withColumn("directed_at_m", directed_m.cast("int"))
         .withColumn("hashtags", hashtags(F.col("text")))
         .withColumn("valid", computed_once(F.when(mention_target, True).otherwise(keyword_target)))
@@ -129,18 +129,6 @@ def _target_columns(
     )
 
 
-# A keyword or insult list is held by every task whatever the route, like the code itself.
-MAX_PATTERNS = 100_000
-
-
-def ordered_words(keywords: DataFrame) -> list[str]:
-    ordered = keywords.where(F.col("word").isNotNull()).orderBy("ord").select("word")
-    rows = small_rows(ordered, MAX_PATTERNS)
-    if rows is None:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns; split the list and run once per part")
-    return [r[0] for r in rows]
-
-
 def raw_projection(tidy: DataFrame, tracking: bool = False) -> DataFrame:
     """The raw table: six columns, keywords null when they were not tracked."""
     keywords = F.col("keywords") if tracking else F.lit(None).cast("array<string>")

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plazalens.functions.handles import HandleGroups, handle_candidates
+from plazalens.functions.handles import HandleGroups, handle_candidates, mark_tokens, replace_handles, swap_handles
 from plazalens.functions.text import strip
-from plazalens.operators.dims import LITERAL_ROWS, attach_lookup, small_rows
+from plazalens.operators.dims import LITERAL_ROWS, at_most, attach_lookup, small_rows
+from plazalens.operators.pattern_index import PLAN_PATTERNS, attach_candidates, pattern_index
 
 # The prefix of every id, and how many accounts one capture follows
 ID_PREFIX = "id_"
@@ -80,21 +81,59 @@ def handle_groups(
 
     A handle listed under several tokens belongs to the token that appears first.
     """
-    named = seeds.where(F.col("screen_name").isNotNull() & F.col("token").isNotNull())
-    first_seen = named.groupBy("token").agg(F.min("ord").alias("ord"))
+    named, first_seen = _named_groups(seeds)
     tokens = small_rows(first_seen, literal_rows)
     if tokens is None:
-        raise ValueError("the group column holds more distinct tokens than a plan can name")
-    order = [r.token for r in sorted(tokens, key=lambda r: r.ord)]
+        raise ValueError("more distinct tokens than a plan can name; with_group_tokens takes any number")
+    order = [r.token for r in sorted(tokens, key=lambda r: (r.ord, r.token))]
     rows = small_rows(named.select("screen_name", "token"), literal_rows)
     if rows is not None:
         groups = {t: [r.screen_name for r in rows if r.token == t] for t in order}
         found = HandleGroups(groups)
         return df, order, found.token_of
-    rank = F.array_position(F.array(*map(F.lit, order)), F.col("token"))
-    dim = named.groupBy(F.lower("screen_name").alias("_handle")).agg(F.min_by("token", rank).alias("_token"))
-    marked = attach_lookup(df, row_key, handle_candidates(text), dim, "_handle", "_token", "_token_map")
-    return marked, order, lambda h: F.try_element_at("_token_map", h)
+    return _handles_joined(df, text, named, first_seen, row_key), order, _joined_token
+
+
+def _named_groups(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    named = seeds.where(F.col("screen_name").isNotNull() & F.col("token").isNotNull())
+    return named, named.groupBy("token").agg(F.min("ord").alias("ord"))
+
+
+def _handles_joined(df: DataFrame, text: Column, named: DataFrame, first_seen: DataFrame, row_key: str) -> DataFrame:
+    ranked = named.select("screen_name", "token").join(first_seen, "token")
+    first = F.min_by("token", F.struct("ord", "token")).alias("_token")
+    dim = ranked.groupBy(F.lower("screen_name").alias("_handle")).agg(first)
+    return attach_lookup(df, row_key, handle_candidates(text), dim, "_handle", "_token", "_token_map")
+
+
+def _joined_token(handle: Column) -> Column:
+    return F.try_element_at("_token_map", handle)
+
+
+def _token_pattern(token: Column) -> Column:
+    # putting an @ in front of one token can complete another one, so an @ inside a token may be missing yet
+    quoted = F.regexp_replace(token, r"([^\w\s@])", r"\\$1")
+    return F.replace(quoted, F.lit("@"), F.lit("@?"))
+
+
+def with_group_tokens(
+    df: DataFrame, text: str, seeds: DataFrame, out: str, row_key: str = "id", plan_tokens: int = PLAN_PATTERNS, literal_rows: int = LITERAL_ROWS
+) -> DataFrame:
+    """Adds ``out``: column ``text`` with handles replaced by their group's token, for any number of tokens.
+
+    Up to ``plan_tokens`` tokens are steps of the plan. More are filed in an index, and each text is marked with the tokens it may hold.
+    """
+    named, first_seen = _named_groups(seeds)
+    if at_most(first_seen, plan_tokens):
+        marked, tokens, token_of = handle_groups(df, F.col(text), seeds, row_key, literal_rows)
+        return marked.select(*df.columns, replace_handles(F.col(text), tokens, token_of).alias(out))
+    swapped = _handles_joined(df, F.col(text), named, first_seen, row_key)
+    swapped = swapped.select(*df.columns, swap_handles(F.col(text), _joined_token).alias(out))
+    patterns = first_seen.select(F.lit("").alias("list"), "ord", _token_pattern(F.col("token")).alias("pattern"), F.col("token").alias("name"))
+    held = attach_candidates(swapped, F.col(out), pattern_index(patterns), "_tokens")
+    ranked = F.array_sort(F.transform("_tokens", lambda t: F.struct(t["ord"].alias("ord"), t["name"].alias("name"))))
+    marks = F.transform(ranked, lambda t: t["name"])
+    return held.withColumn(out, mark_tokens(F.col(out), marks)).drop("_tokens")
 
 
 def as_tokens(seeds: DataFrame) -> DataFrame:

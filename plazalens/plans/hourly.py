@@ -6,13 +6,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalens.functions.handles import replace_handles
 from plazalens.functions.text import clean_model_text
 from plazalens.operators.dedup import drop_repeated_posts
 from plazalens.operators.dictionary import compile_dictionary
 from plazalens.operators.flatten import directed_at, flatten_posts, raw_projection, valid_posts
 from plazalens.operators.insults import with_insult_names
-from plazalens.operators.seeds import as_tokens, handle_groups, influencers
+from plazalens.operators.seeds import as_tokens, influencers, with_group_tokens
 from plazalens.operators.summaries import (
     hashtags_of_posts,
     insults_of_posts,
@@ -39,9 +38,7 @@ Classify = Callable[[DataFrame], DataFrame]
 def model_text(posts: DataFrame, seeds: DataFrame, entities: str = "html5") -> DataFrame:
     """Adds ``replaced_text``: the text cleaned for the classifier, handles replaced by their group."""
     cleaned = posts.withColumn("_cleaned", clean_model_text(F.col("text"), entities))
-    marked, tokens, token_of = handle_groups(cleaned, F.col("_cleaned"), as_tokens(seeds))
-    replaced = replace_handles(F.col("_cleaned"), tokens, token_of)
-    return marked.select(*posts.columns, replaced.alias("replaced_text"))
+    return with_group_tokens(cleaned, "_cleaned", as_tokens(seeds), "replaced_text").drop("_cleaned")
 
 
 def detect(tidy: DataFrame, dims: Dimensions, classify: Classify, gender: str = "F", entities: str = "html5") -> DataFrame:

@@ -443,3 +443,6 @@ _STREAMS = {
 }
 
 ORACLES: dict[str, str] = _SUMMARIES | _POST_QUERIES | _TEXT | _DICTIONARY | _HOURLY | _STREAMS
+
+# The same results by way of an index
+ORACLES |= {f"{name}_indexed": ORACLES[name] for name in ("token_map", "document_keywords", "extract_insults")}

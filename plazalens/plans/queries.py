@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from plazalens.functions import find, handles, scores, text, times
-from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, seeds, summaries, word_model
+from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, pattern_index, seeds, summaries, word_model
 from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.schemas import FLAT_POST, SUMMARIES
 from plazalens.session import shared_dir
@@ -289,6 +289,19 @@ def first_match(spark, sf):
     return plain(_cleaned(spark, sf).select("id", find.first_names(words, compiled.entries).alias("names")))
 
 
+def token_map_indexed(spark, sf):
+    """The tokens by way of an index, as for any number of them."""
+    cleaned = _texts(spark, sf).select("id", text.clean_model_text(F.col("text"), "xml").alias("cleaned"))
+    groups = seeds.as_tokens(stand_in.seeds(spark, sf))
+    return plain(seeds.with_group_tokens(cleaned, "cleaned", groups, "replaced", plan_tokens=0).select("id", "replaced"))
+
+
+def document_keywords_indexed(spark, sf):
+    """The keywords by way of an index, as for lists of any length."""
+    words = spark.createDataFrame(KEYWORDS, "word string, ord bigint")
+    return plain(pattern_index.attach_keywords(_cleaned(spark, sf), "text", words, plan_patterns=0).select("id", "keywords"))
+
+
 def document_keywords(spark, sf):
     words = [w for (w, _) in KEYWORDS]
     return plain(_cleaned(spark, sf).select("id", find.keyword_hits(F.col("text"), words).alias("keywords")))
@@ -313,6 +326,14 @@ def extract_insults(spark, sf):
     )
 
 
+def extract_insults_indexed(spark, sf):
+    """The same by way of an index, as for dictionaries of any length."""
+    found = insults.extract_insults(_abusive_documents(spark, sf), dictionary.index_dictionary(_insult_rows(spark, INSULTS)))
+    return plain(
+        found.select("id", "insults_search", "not_f", "text_filtered", "female_insults", "fiu_insults", "insults_name")
+    )
+
+
 def extract_male_insults(spark, sf):
     found = insults.extract_male_insults(_abusive_documents(spark, sf), _insult_dictionary(spark))
     return plain(found.select("id", "insults_search", "not_m", "text_filtered", "male_insults"))
@@ -644,7 +665,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tidy_posts, tidy_posts_joined, seed_target, only_female_posts, raw_projection, raw_projection_untracked,
         directed_posts, post_counts, dedup_posts, quarantine, capture_filter, capture_filter_flat, capture_enrich,
         created_at_parse, hour_trunc, v2_flatten, file_hours, clean_html_text, remove_hits, token_map,
-        token_map_joined, mention_tokens, first_match, document_keywords, extract_insults, extract_male_insults,
+        token_map_joined, token_map_indexed, mention_tokens, first_match, document_keywords, document_keywords_indexed, extract_insults,
+        extract_insults_indexed, extract_male_insults,
         dictionary_lists, dictionary_map, not_in_null_safe, category_table, seed_metadata, seed_files, distinct_tokens,
         seed_pages, handle_pages, tracking_words, handle_map, seed_upsert, argmax_class, classify_default,
         classify_words, classify_posts, enriched_posts, model_text, stream_summary, stream_dedup, stream_capture, stream_handles,

@@ -92,7 +92,7 @@ def test_patterns():
     assert java_pattern(r"(?P<x>a)(?P=x)\Z").endswith(r"(?<x>a)\k<x>\z")
 
 
-def test_long_lists_take_the_arrow_route(spark, monkeypatch):
+def test_long_lists_are_a_value_of_the_plan(spark, monkeypatch):
     entries, words = [("ab+", "one"), ("a", "two")], ["ab", "zz", "a"]
     texts = ["abb", "xa", "q"]
     short = run(spark, texts, lambda c: find.first_names(F.array(c), entries)), run(spark, texts, lambda c: find.keyword_hits(c, words))
