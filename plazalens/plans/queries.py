@@ -516,15 +516,16 @@ def stream_capture(spark, sf):
 
 
 def stream_handles(spark, sf):
-    """Seed list after the handles seen in a stream of posts."""
+    """Seed list after the handles seen in a stream of posts, which a fresh checkpoint then reads again."""
     feed = stream_capture_stage.follow_handles(post_source.stream_posts(spark, stand_in.raw_folder(spark, sf)))
     seed_list = stand_in.seeds(spark, sf).withColumn("user_id", F.col("ord").cast("string"))
 
     def start(out, checkpoint):
-        seed_list.write.parquet(stream_handle_stage.seed_version(out, 0))
-        return stream_handle_stage.track_handles(spark, feed, out, checkpoint)
+        stream_handle_stage.start_seeds(seed_list, out)
+        stream_handle_stage.track_handles(spark, feed, out, checkpoint).awaitTermination()
+        return stream_handle_stage.track_handles(spark, feed, out, f"{checkpoint}-fresh")
 
-    changed = spark.read.parquet(stream_handle_stage.seed_version(_run(spark, start), 1))
+    changed = stream_handle_stage.read_seeds(spark, _run(spark, start))
     return changed.select("user_id", "screen_name", "screen_name_orig", "updated", "ord")
 
 

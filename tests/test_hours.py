@@ -11,7 +11,7 @@ from plazalens.plans import hour_load, hourly
 from plazalens.schemas import SEEDS, SUMMARIES
 from plazalens.sinks import hours
 from plazalens.sources import posts as post_source
-from plazalens.streaming import hourly as stream_hourly, late
+from plazalens.streaming import handles, hourly as stream_hourly, late
 
 
 
@@ -256,3 +256,67 @@ def test_posts_in_any_order(spark, tmp_path):
     named = as_frame(spark, [r for r in rows if r[0]]).withColumn("source", F.lit("other"))
     late.count_batch(named, influencers, out)
     assert read() == counted([*rows, (None, 5, "eva", 0, 0, False)])
+
+
+def test_a_bad_file_fails_alone(spark, tmp_path, dims):
+    posts = made_posts(40)
+    parts = [posts[:10], posts[10:20], [raw_post(7000, 1, "ana", 9, "poison tonto")], posts[20:]]
+    for i, part in enumerate(parts):
+        write_file(tmp_path / "raw", f"output-{i}.jsonl", part)
+    out, bad = str(tmp_path / "out"), "poison"
+
+    def picky(df):
+        refuse = F.when(F.contains("text_clean", F.lit(bad)), F.raise_error(F.lit("no such text"))).otherwise(F.contains("text_clean", F.lit("tonto")))
+        return df.withColumn("abuse", refuse.cast("int"))
+
+    def once(checkpoint, classify):
+        feed = post_source.stream_posts(spark, str(tmp_path / "raw"), source="source_file")
+        stream_hourly.run_incremental(spark, feed, dims, classify, out, str(tmp_path / checkpoint), apart=True).awaitTermination()
+
+    once("c1", picky)
+    assert held(spark, out) == expected([p for part in (0, 1, 3) for p in parts[part]])
+    failures = spark.read.parquet(f"{out}/failures").collect()
+    assert len(failures) == 1 and "output-2.jsonl" in str(failures[0])
+    # mended, it is taken by a later run, and the others aren't taken again
+    once("c2", classifier)
+    assert held(spark, out) == expected([p for part in parts for p in part])
+    # where nothing can be loaded, the batch fails
+
+    def broken(df):
+        raise RuntimeError("no model")
+
+    files = spark.createDataFrame([("a",), ("b",), ("c",)], "source_file string")
+    with pytest.raises(RuntimeError, match="no model"):
+        stream_hourly.load_apart(broken, files, "source_file", lambda name, e: None)
+
+
+def test_versions_of_the_seed_list(spark, tmp_path, dims):
+    folder = str(tmp_path / "seeds")
+    handles.start_seeds(dims.seeds, folder)
+    rows = [("10", "AnaDos", "2022-10-01 10:00:00"), ("99", "other", "2022-10-01 10:00:00"), (None, "x", "2022-10-01 10:00:00"), ("12", "eva", "2022-10-01 10:00:00")]
+    later = [("10", "AnaTres", "2022-10-02 10:00:00"), ("10", "AnaCero", "2022-09-01 10:00:00")]
+    schema = "user_id string, screen_name string, datetime timestamp_ntz"
+
+    def arrive(name, some):
+        df = spark.createDataFrame(some, "user_id string, screen_name string, datetime string").withColumn("datetime", F.to_timestamp_ntz("datetime"))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / name))
+
+    def track(checkpoint):
+        feed = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*"))
+        handles.track_handles(spark, feed, folder, str(tmp_path / checkpoint)).awaitTermination()
+        return {r.user_id: r.screen_name for r in handles.read_seeds(spark, folder).collect()}
+
+    arrive("a", rows)
+    assert track("c1") == {"10": "anados", "12": "eva"}
+    version = hours.HourStore(spark, folder).last()
+    arrive("b", later)
+    assert track("c1") == {"10": "anatres", "12": "eva"}
+    # a fresh checkpoint that is given all posts again writes no version and undoes nothing
+    assert track("c2") == {"10": "anatres", "12": "eva"} and hours.HourStore(spark, folder).last() == version + 1
+    handles.start_seeds(dims.seeds, folder)
+    spans = sorted((r.user_id, r.screen_name, str(r.valid_from), str(r.valid_to)) for r in handles.handle_history(spark, folder).collect())
+    assert spans == [
+        ("10", "ana", "None", "2022-10-01 10:00:00"), ("10", "anados", "2022-10-01 10:00:00", "2022-10-02 10:00:00"),
+        ("10", "anatres", "2022-10-02 10:00:00", "None"), ("12", "eva", "None", "None"),
+    ]
+    assert handles.read_seeds(spark, folder).columns == dims.seeds.columns
