@@ -5,7 +5,10 @@ one half of the symbols a keyed hash of the other half, symbol by symbol within
 one: an equal value gets an equal pseudonym in every document, and different values stay different.
 
 Phones are seen with a country code, with a bracketed area code, as 555-123-4567 or 555.123.4567, and nationally with a leading 0 and
-a blank, dash or slash after the area code. Unbroken digits alone are no phone.
+a blank, dash or slash after the area code. Unbroken digits alone are no phone. A date with slashes is read month first, and day first
+where that isn't in the calendar; such a date stays one that can only be read day first. Letters of an e-mail's local part stay within
+their alphabet (ALPHABETS; letters of other scripts stay as they are), and its domain goes into the key, so that one known short address
+doesn't give away those of other domains. IPv6 addresses are seen in full and, from four digits on, shortened by a double colon.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +20,11 @@ from plazalens.llm.decontam import let
 ROUNDS = 8
 # Shapes of the values, in order of preference, fixed values
 SHAPES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[.][A-Za-z0-9-]++)*(?<=[.][A-Za-z]{2,24})",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:[.][\p{L}\p{N}-]++)*(?<=[.]\p{L}{2,24})",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[.][0-9]{2}[.][0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?![0-9]|[.][0-9])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:]|[.][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     # with country code, with brackets, plain north American with dashes or points, national with a trunk 0
     "phone": r"(?:\+1[ .-]?|(?<![0-9]))\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
@@ -32,6 +37,13 @@ SHAPES = {
 PATTERN = "|".join(SHAPES.values())
 NO_CARD = "|".join(v for k, v in SHAPES.items() if k != "card")
 CARD_GROUPS = "^(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})[ -]?$"
+# First and last code points of rows of letters, fixed values: Latin, Greek, Cyrillic, Hebrew, Arabic, kana, ideographs, Hangul
+ALPHABETS = (
+    (0xC0, 0xD6), (0xD8, 0xDE), (0xDF, 0xF6), (0xF8, 0xFF), (0x100, 0x17F), (0x391, 0x3A1), (0x3A3, 0x3A9), (0x3B1, 0x3C9),
+    (0x400, 0x40F), (0x410, 0x42F), (0x430, 0x44F), (0x450, 0x45F), (0x5D0, 0x5EA), (0x621, 0x63A), (0x641, 0x64A),
+    (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+)
+WALK = 64  # a permuted date is day first only with odds above one half: more steps are needed once in 10 ** 25 dates
 FIRST_DAY, DAYS = "1900-01-01", (319, 229)  # 319 * 229 days end with 2099-12-31
 
 
@@ -94,12 +106,12 @@ def _mod97(compact: Column) -> Column:
     return F.aggregate(_chars(F.concat(F.substr(compact, F.lit(5)), F.substring(compact, 1, 4))), F.lit(0), add)
 
 
-def _filled(v: Column, values: Column) -> Column:
+def _filled(v: Column, values: Column, kept: str = "[A-Za-z0-9]") -> Column:
     """``v`` with its letters and digits replaced by ``values`` in order; other characters stay."""
 
     def fill(values):  # bound, or every character would compute them again
         def put(acc, c):
-            fits = c.rlike("[A-Za-z0-9]")
+            fits = c.rlike(kept)
             return F.struct(
                 F.concat(acc["out"], F.when(fits, F.get(values, acc["at"])).otherwise(c)).alias("out"),
                 (acc["at"] + F.when(fits, 1).otherwise(0)).alias("at"),
@@ -110,17 +122,34 @@ def _filled(v: Column, values: Column) -> Column:
     return let(values, fill)
 
 
-def _permuted_chars(plain: Column, fixed: Column | None, key: str, label: str, first: Column | None = None) -> Column:
+def _alphabet(code: Column, of) -> Column:
+    """``of(first, last)`` of the row of letters that a code point is in; of the code point alone where it is in none."""
+    out = None
+    for low, high in ALPHABETS:
+        inside = code.between(low, high)
+        out = F.when(inside, of(F.lit(low), F.lit(high))) if out is None else out.when(inside, of(F.lit(low), F.lit(high)))
+    return out.otherwise(of(code, code))
+
+
+def _char(code: Column) -> Column:
+    """The character of a code point of the basic plane."""
+    return F.when(code < 128, F.char(code)).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE"))
+
+
+def _permuted_chars(plain: Column, fixed: Column | None, key: str, label: str | Column, first: Column | None = None, wide: bool = False) -> Column:
     """Letters and digits of ``plain`` permuted within their kind, as an array; the leading ``fixed`` ones stay, and places in
-    ``first`` (array of int) keep to 2-9 or to 0 and 1, whichever their digit is of."""
+    ``first`` (array of int) keep to 2-9 or to 0 and 1, whichever their digit is of. ``wide``: letters of ALPHABETS are among them."""
+    label = F.lit(label) if isinstance(label, str) else label
     code = lambda c: F.ascii(c)
 
     def low(c, i):
-        start = F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).otherwise(65)
+        start = F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97)
+        start = start.when(code(c) > 127, _alphabet(code(c), lambda a, b: a)).otherwise(65) if wide else start.otherwise(65)
         return F.when(F.array_contains(first, i) & (c >= "2"), 50).otherwise(start) if first is not None else start
 
     def span(c, i):
-        size = F.when(c.rlike("[0-9]"), 10).otherwise(26)
+        size = F.when(c.rlike("[0-9]"), 10)
+        size = size.when(code(c) > 127, _alphabet(code(c), lambda a, b: b - a + 1)).otherwise(26) if wide else size.otherwise(26)
         size = F.when(F.array_contains(first, i), F.when(c >= "2", 8).otherwise(2)).otherwise(size) if first is not None else size
         return F.when(i < fixed, 1).otherwise(size) if fixed is not None else size
 
@@ -129,15 +158,18 @@ def _permuted_chars(plain: Column, fixed: Column | None, key: str, label: str, f
 
     def build(chars):
         symbols, ranges = F.transform(chars, lambda c, i: code(c) - base(c, i)), F.transform(chars, span)
-        shape = F.concat(F.lit(label), F.array_join(F.transform(ranges, lambda x: x.cast("string")), "."))
-        return let(feistel(symbols, ranges, key, shape), lambda moved: F.transform(chars, lambda c, i: F.char(F.get(moved, i) + base(c, i))))
+        shape = F.concat(label, F.array_join(F.transform(ranges, lambda x: x.cast("string")), "."))
+        return let(feistel(symbols, ranges, key, shape), lambda moved: F.transform(chars, lambda c, i: (_char if wide else F.char)(F.get(moved, i) + base(c, i))))
 
     return let(_chars(plain), build)
 
 
 def _email(v: Column, key: str) -> Column:
-    local = F.substring_index(v, "@", 1)
-    return F.concat(_filled(local, _permuted_chars(F.regexp_replace(local, "[^A-Za-z0-9]", ""), None, key, "email")), F.lit("@"), F.substring_index(v, "@", -1))
+    local, domain = F.substring_index(v, "@", 1), F.substring_index(v, "@", -1)
+    # letters beyond the basic plane stay as they are
+    letter = r"[A-Za-z0-9\x{80}-\x{FFFF}&&[\p{L}\p{N}]]"
+    moved = _permuted_chars(F.array_join(F.regexp_extract_all(local, F.lit(letter), F.lit(0)), ""), None, key, F.concat(F.lit("email:"), F.lower(domain), F.lit(":")), wide=True)
+    return F.concat(_filled(local, moved, f"^{letter}$"), F.lit("@"), domain)
 
 
 def _card(v: Column, key: str) -> Column:
@@ -178,6 +210,18 @@ def _ip(v: Column, key: str) -> Column:
     return F.array_join(F.transform(feistel(octets, _ints([256] * 4), key, F.lit("ip")), lambda x: x.cast("string")), ".")
 
 
+def _ip6(v: Column, key: str) -> Column:
+    """Hexadecimal digits are permuted in their places; an address has one pseudonym in small and in capital letters."""
+    digits = F.transform(_chars(F.replace(v, F.lit(":"), F.lit(""))), lambda c: F.conv(c, 16, 10).cast("int"))
+
+    def build(digits):
+        moved = feistel(digits, F.transform(digits, lambda d: F.lit(16)), key, F.concat(F.lit("ip6:"), F.regexp_replace(v, "[^:]", "x")))
+        return F.transform(moved, lambda d: F.conv(d.cast("string"), 10, 16))
+
+    out = _filled(v, let(digits, build))
+    return F.when(v.rlike("[A-F]"), out).otherwise(F.lower(out))
+
+
 def _ssn(v: Column, key: str) -> Column:
     area, group, serial = _parts(v, "([0-9]+)-([0-9]+)-([0-9]+)", 3)
     symbols = F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1)
@@ -190,20 +234,35 @@ def _ssn(v: Column, key: str) -> Column:
 
 
 def _day(v: Column) -> Column:
-    shape = F.when(v.contains("-"), "yyyy-MM-dd").when(v.contains("."), "dd.MM.yyyy").otherwise("MM/dd/yyyy")
+    shape = F.when(v.contains("-"), "yyyy-MM-dd").when(v.contains("."), "dd.MM.yyyy").when(_day_first(v), "dd/MM/yyyy").otherwise("MM/dd/yyyy")
     return F.to_date(F.try_to_timestamp(v, shape))
 
 
+def _day_first(v: Column) -> Column:
+    return v.rlike("^(?:1[3-9]|[23])[0-9]*/")
+
+
 def _date(v: Column, key: str) -> Column:
-    """Day numbers are permuted, so a date has one pseudonym whichever way it is written."""
+    """Day numbers are permuted, so a date has one pseudonym whichever way it is written. A date with slashes, day first, is permuted until
+    its day is above 12, which permutes the dates of that kind and keeps them apart from those that are month first."""
     number = F.datediff(_day(v), F.lit(FIRST_DAY).cast("date"))
     symbols = F.array(F.floor(number / DAYS[1]).cast("int"), number % DAYS[1])
 
+    def day(s):
+        return F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(s, 0) * DAYS[1] + F.get(s, 1))
+
+    def moved(s):
+        return feistel(s, _ints(DAYS), key, F.lit("date"))
+
     def build(s):
-        day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(s, 0) * DAYS[1] + F.get(s, 1))
-        return F.when(v.contains("-"), F.date_format(day, "yyyy-MM-dd")).when(v.contains("."), F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
+        ways = F.when(v.contains("-"), F.date_format(day(s), "yyyy-MM-dd")).when(v.contains("."), F.date_format(day(s), "dd.MM.yyyy"))
+        return ways.when(_day_first(v), F.date_format(day(s), "dd/MM/yyyy")).otherwise(F.date_format(day(s), "MM/dd/yyyy"))
+
+    def walked(s):
+        step = lambda s, i: F.when((i > 0) & (~_day_first(v) | (F.dayofmonth(day(s)) > 12)), s).otherwise(moved(s))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(WALK)), s, step)
 
-    return let(feistel(symbols, _ints(DAYS), key, F.lit("date")), build)
+    return let(walked(symbols), build)
 
 
 def _valid_date(v: Column) -> Column:
@@ -213,7 +272,7 @@ def _valid_date(v: Column) -> Column:
 
 def kind_of(v: Column) -> Column:
     """The kind of a matched value, null where it isn't a valid one: cards pass Luhn, IBANs modulo 97, dates are in the calendar
-    between 1900 and 2099, octets without leading zeros end at 255, social security numbers avoid the unused areas."""
+    between 1900 and 2099, IPv6 addresses have eight groups at most, octets without leading zeros end at 255, social security numbers avoid the unused areas."""
     whole = {k: f"^(?:{s})$" for k, s in SHAPES.items()}
     octet = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
     ssn = "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
@@ -222,6 +281,7 @@ def kind_of(v: Column) -> Column:
         F.when(v.contains("@"), F.lit("email"))
         .when(v.rlike(whole["date"]) & _valid_date(v), F.lit("date"))
         .when(v.rlike(f"^{octet}(?:[.]{octet}){{3}}$"), F.lit("ip"))
+        .when(v.rlike(whole["ip6"]) & (F.size(F.split(v, ":")) <= 9), F.lit("ip6"))
         .when(v.rlike(ssn), F.lit("ssn"))
         .when(v.rlike(whole["phone"]), F.lit("phone"))
         .when(v.rlike("^[0-9 -]+$") & F.regexp_replace(v, "[^0-9]", "").rlike("^[0-9]{13,19}$") & let(digits, lambda d: _luhn_sum(d) % 10 == 0), F.lit("card"))
@@ -231,7 +291,7 @@ def kind_of(v: Column) -> Column:
 
 def pseudonym(kind: Column, v: Column, key: str) -> Column:
     """The pseudonym of value ``v``; null kinds leave it as it is."""
-    ways = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card, "iban": _iban}
+    ways = {"email": _email, "date": _date, "ip": _ip, "ip6": _ip6, "ssn": _ssn, "phone": _phone, "card": _card, "iban": _iban}
     out = None
     for name, way in ways.items():
         out = F.when(kind == name, way(v, key)) if out is None else out.when(kind == name, way(v, key))
@@ -312,7 +372,7 @@ def pseudonymised(docs: DataFrame, key: str, *keep: str) -> DataFrame:
     """
     names = list(dict.fromkeys(keep))
     rows = need(docs, *dict.fromkeys([*names, "text"])).select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)], F.col("text").alias("t"))
-    may = F.col("t").rlike("@|[0-9][^A-Za-z]{0,3}[0-9]")
+    may = F.col("t").rlike("@|[0-9][^A-Za-z]{0,3}[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]")
     is_run = lambda m: m.rlike(f"^(?:{SHAPES['card']})$") & ~m.rlike(f"^(?:{SHAPES['phone']})$")
     pieces = _pieces(F.col("t"), PATTERN, lambda m: F.when(is_run(m), _cut(m)).otherwise(F.array(_piece(m, True))))
     pieces = F.when(may, pieces).otherwise(F.array().cast(PIECES))
