@@ -171,6 +171,10 @@ def _split(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     return parked(placed.join(major.select("bucket", "major"), "bucket").join(reps.select("class", "n"), "class"), "split")
 
 
+# Sizes of one level differ by this factor at most
+LEVEL = 1.1
+
+
 def _alone(sets: DataFrame) -> DataFrame:
     """key (hash of the class), alone: how many shingles of a class no other class of ``sets`` has. No intersection holds them."""
     shingles = sets.select(F.xxhash64("class").alias("key"), F.explode("shingles").alias("shingle"))
@@ -178,26 +182,47 @@ def _alone(sets: DataFrame) -> DataFrame:
     return once.groupBy("key").agg(F.count("*").alias("alone"))
 
 
+def _level(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(LEVEL))).cast("int")
+
+
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the pairs of a bucket, to be joined on bucket and level: members outside its largest component, once for each
+    level of size that a linked set can have, and all members. ``rows``: bucket, major, class, component, n, shared, parity.
+
+    A linked pair has PERCENT of each set in common, and of both sizes together the part that ``_across`` tests; what a member shares
+    with no other class isn't in common. So a member that shares too little, with any set or with the sets of a level, is left out before
+    anything meets: documents with one passage in common fill a bucket without meeting in it.
+    """
+
+    def side(x, *more):
+        return rows.select("bucket", *more, *[F.col(c).alias(f"{c}_{x}") for c in ("class", "component", "n", "parity", "shared")])
+
+    enough = f"100 * shared_{{x}} >= {PERCENT} * n_{{x}}"
+    minor = side("a", "major").where("component_a <> major").drop("major").where(enough.format(x="a"))
+    first, last = _level(F.ceil(F.col("n_a") * PERCENT / 100)), _level(F.floor(F.col("n_a") * 100 / PERCENT))
+    # a level's sizes begin here or above; one less, so that rounding can't lose a pair
+    least = F.greatest(F.pow(F.lit(LEVEL), F.col("level")) - 1, F.lit(1.0))
+    minor = minor.withColumn("level", F.explode(F.sequence(first, last)))
+    minor = minor.where((100 + PERCENT) * F.col("shared_a") >= PERCENT * (F.col("n_a") + least))
+    return minor, side("b", "major").where(enough.format(x="b")).withColumn("level", _level(F.col("n_b")))
+
+
 def _across(split: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
     """Pairs (a, b, na, nb) of a bucket that lie in different components, haven't been compared, and are plausible.
 
     Members of a bucket's largest component meet only members of the others, so a bucket of copies that are linked already costs
     nothing. Two bounds exclude most other pairs, and no linked one: shingles that one class alone has are in no intersection, and the
-    parity bitmaps of whole sets differ in at most as many bits as the sets differ in shingles.
+    parity bitmaps of whole sets differ in at most as many bits as the sets differ in shingles. The first is applied before the join.
     """
     alone = _alone(sets)
     shared = F.col("n") - F.coalesce("alone", F.lit(0))
     rows = split.withColumn("key", F.xxhash64("class")).join(alone, "key", "left").withColumn("shared", shared)
-    rows = parked(rows.join(sets.select("class", "parity"), "class"), "sides")
-
-    def side(x, *more):
-        return rows.select("bucket", *more, *[F.col(c).alias(f"{c}_{x}") for c in ("class", "component", "n", "parity", "shared")])
-
-    minor, every = side("a", "major").where("component_a <> major").drop("major"), side("b", "major")
+    minor, every = _sides(parked(rows.join(sets.select("class", "parity"), "class"), "sides"))
     # two members of minor components meet once
     meet = (F.col("component_a") < F.col("component_b")) | (F.col("component_b") == F.col("major"))
     bound = (100 + PERCENT) * F.least("shared_a", "shared_b") >= PERCENT * (F.col("n_a") + F.col("n_b"))
-    met = minor.join(every, "bucket").where(F.col("component_a") != F.col("component_b")).where(meet & bound)
+    met = minor.join(every, ["bucket", "level"]).where(F.col("component_a") != F.col("component_b")).where(meet & bound)
     # of n_a + n_b shingles, linked sets differ in (100 - PERCENT) / (100 + PERCENT) at most
     met = met.where((100 + PERCENT) * _different("parity_a", "parity_b", FULL_BITS) <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b")))
     swap = F.col("class_a") < F.col("class_b")
