@@ -44,6 +44,7 @@ VIEWS = {
 
 # Parameters of the post stand-in
 GROUPS = ("mayor", "deputy", "press")
+FILE_POSTS = 50_000
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -179,6 +180,12 @@ def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("line"), F.col("id").alias("key"))
 
 
+def write_raw(posts: DataFrame, folder: str) -> None:
+    """Adds raw JSON-lines files to a folder. Feed text shrinks to a fraction when deflated; such a file is read by one task, so it holds
+    a bounded number of posts. (The name of a gzip file would count as archived.)"""
+    posts.write.mode("append").option("compression", "deflate").option("maxRecordsPerFile", FILE_POSTS).json(folder)
+
+
 _written: dict[tuple[str, str], str] = {}
 
 
@@ -187,7 +194,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         folder = f"{shared_dir(spark)}/raw-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
-        post_rows(spark, sf_dir).write.json(folder)
+        write_raw(post_rows(spark, sf_dir), folder)
         _written[key] = folder
     return _written[key]
 
