@@ -38,13 +38,14 @@ def count_batch(
     closed = _closed_up_to(store, delay)
     at = as_utc(F.col("ts"))
     rows = posts.withColumn("datetime", at).withColumn("Hour", hour_of(at)).drop("ts")
-    rows = unread(store, change.scratch(rows.withColumn("period", period_of(F.col("Hour"), unit)), "batch"), source)
+    rows = change.scratch(unread(store, rows.withColumn("period", period_of(F.col("Hour"), unit)), source), "batch")
     if rows.isEmpty():
         return None
     none = F.lit("none").alias("period")
     change.append(SOURCES, rows.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("posts")).select("*", none))
     periods = periods_of(rows)
-    fresh = change.scratch(unseen(store, drop_repeated_posts(rows.drop(source)), periods), "fresh")
+    once = change.scratch(drop_repeated_posts(rows.drop(source)), "once")
+    fresh = change.scratch(unseen(store, once, periods), "fresh")
     # the summary tells retweets by the author they repeat
     facts = fresh.select("datetime", F.when(F.col("is_rt"), "rt").alias("rt_from_user_id"), "abuse", "insults_name", F.col(seed).alias("f_seed"))
     counts = mentions_abuse_of_posts(facts, influencers)
