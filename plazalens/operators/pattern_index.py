@@ -4,9 +4,11 @@ A pattern is filed under strings one of which each of its matches contains, the
 it holds such a string. Patterns without one are filed under the empty string and meet every text.
 """
 
+import json
 import uuid
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ from plazalens.session import shared_dir
 # Lists up to this length are written into the plan, longer ones are indexed; the hits are the same
 PLAN_PATTERNS = 500
 KEY_LENGTHS = (6, 4, 2, 1)
+# Indexes up to this many entries go to every task, which finds their keys where the texts are; more meet the texts by a join
+HELD_ENTRIES = 5000
+FIELDS = ("ord", "copy", "list", "pattern", "name", "java", "cut", "sensitive", "fuzzy")
 
 
 def _described(pattern: Column) -> Column:
@@ -50,6 +55,7 @@ class PatternIndex:
     entries: DataFrame  # _key, list, ord, copy, pattern, name, java, cut, sensitive, fuzzy
     lengths: list[int]  # of the keys
     in_scan: bool  # no pattern needs the Arrow route
+    held: list | None  # the entries in order, each with all its keys, if they are few
 
 
 def pattern_index(patterns: DataFrame) -> PatternIndex:
@@ -71,7 +77,75 @@ def pattern_index(patterns: DataFrame) -> PatternIndex:
         F.collect_set(F.length("_key")).alias("lengths"),
         F.coalesce(F.bool_and(F.col("cut").isNotNull() | ~F.col("sensitive") & ~F.col("fuzzy")), F.lit(True)).alias("in_scan"),
     ).first()
-    return PatternIndex(entries, sorted(facts.lengths), facts.in_scan)
+    several = entries.groupBy(*FIELDS).agg(F.collect_set("_key").alias("_keys"))
+    held = small_rows(several.orderBy(*[F.col(f).asc_nulls_first() for f in FIELDS]), HELD_ENTRIES)
+    return PatternIndex(entries, sorted(facts.lengths), facts.in_scan, held)
+
+
+class KeyFinder:
+    """Which of the ``keys`` (bytes) stand in which of many texts laid end to end: windows of up to WIDE bytes are numbers, and a table
+    of bits leaves few of them to look up. The rest of a longer key is compared where its first bytes stand."""
+
+    WIDE, BITS, PIECE = 8, 20, 1 << 20
+    MIX = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: list[bytes]):
+        self.keys, self.groups = keys, []
+        for long in (False, True):
+            for size in sorted({min(len(k), self.WIDE) for k in keys if k and (len(k) > self.WIDE) == long}):
+                of = [i for i, k in enumerate(keys) if min(len(k), self.WIDE) == size and (len(k) > self.WIDE) == long]
+                codes = np.array([int.from_bytes(keys[i][:size], "little") for i in of], np.uint64)
+                order = np.argsort(codes, kind="stable")
+                table = np.zeros(1 << self.BITS, bool)
+                table[self._slot(codes)] = True
+                self.groups.append((size, long, codes[order], np.array(of)[order], table))
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * self.MIX) >> np.uint64(64 - self.BITS)
+
+    def find(self, texts: list[bytes]) -> list[set[int]]:
+        """Numbers of the keys in each text; an empty key is in none."""
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        data = b"".join([*texts, bytes(self.WIDE)])
+        found: list[set[int]] = [set() for _ in texts]
+        for start in range(0, len(data) - self.WIDE, self.PIECE):
+            windows = np.ndarray(min(self.PIECE, len(data) - self.WIDE - start), "<u8", data, start, (1,)).copy()
+            for size, long, codes, numbers, table in self.groups:
+                now = windows & np.uint64((1 << 8 * size) - 1)
+                at = np.flatnonzero(table[self._slot(now)])
+                first, after = (np.searchsorted(codes, now[at], side) for side in ("left", "right"))
+                at, first, after = (a[after > first] for a in (at, first, after))
+                place = at + start
+                row = np.searchsorted(ends, place, "right")
+                if not long:
+                    inside = place + size <= ends[row]
+                    for pair in np.unique(row[inside] * len(codes) + first[inside]).tolist():
+                        found[pair // len(codes)].add(int(numbers[pair % len(codes)]))
+                    continue
+                for r, p, i, j in zip(row.tolist(), place.tolist(), first.tolist(), after.tolist()):
+                    end = int(ends[r])
+                    found[r].update(int(n) for n in numbers[i:j] if p + len(self.keys[n]) <= end and data.startswith(self.keys[n], p))
+        return found
+
+
+def _held_candidates(text: Column, held: list, kind: str) -> Column:
+    """The entries of ``held`` that may match ``text``, found in an Arrow worker: no text is moved, only their numbers come back."""
+    filed: dict[bytes, list[int]] = {}
+    for i, entry in enumerate(held):
+        for key in entry["_keys"]:
+            filed.setdefault(key.encode(), []).append(i)
+    always, keys = filed.pop(b"", []), list(filed)
+    lists = [filed[k] for k in keys]
+
+    @F.pandas_udf("array<int>")
+    def numbers(texts: pd.Series) -> pd.Series:
+        finder = KeyFinder(keys)
+        known = [t for t in texts if t is not None]
+        sets = iter(finder.find(known))
+        return pd.Series([None if t is None else sorted({*always, *(i for k in next(sets) for i in lists[k])}) for t in texts], dtype=object)
+
+    entries = F.from_json(F.lit(json.dumps([{f: e[f] for f in FIELDS} for e in held])), kind)
+    return F.transform(numbers(text.cast("binary")), lambda i: F.get(entries, i))
 
 
 def _keys_in(text: Column, lengths: list[int]) -> Column:
@@ -86,23 +160,26 @@ def _keys_in(text: Column, lengths: list[int]) -> Column:
     return F.array_distinct(let(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), all_keys))
 
 
-def attach_candidates(df: DataFrame, text: Column, index: PatternIndex, out: str, **join) -> DataFrame:
+def attach_candidates(df: DataFrame, text: Column, index: PatternIndex, out: str, held: bool = True, **join) -> DataFrame:
     """Adds ``out``: the entries of ``index`` that may match ``text``, by ``ord``; empty where there is none or the text is null.
 
-    Equal texts are one before they meet the index, and only (hash of the text, key) pairs travel to it. Those are joined by broadcast if
-    the index is small, else with salted keys; a text that many rows share is split by the join's skew handling.
+    An index of up to HELD_ENTRIES entries goes to the texts, unless ``held`` is unset. Else equal texts are one before they meet the
+    index, and only (hash of the text, key) pairs travel to it. Those are joined by broadcast if the index is small, else with salted
+    keys; a text that many rows share is split by the join's skew handling. The candidates are the same.
     """
-    fields = ("ord", "copy", "list", "pattern", "name", "java", "cut", "sensitive", "fuzzy")
     types = dict(index.entries.dtypes)
-    none = F.array().cast("array<struct<" + ",".join(f"`{f}`:{types[f]}" for f in fields) + ">>")
+    kind = "array<struct<" + ",".join(f"`{f}`:{types[f]}" for f in FIELDS) + ">>"
+    none = F.array().cast(kind)
     if not index.lengths:
         return df.withColumn(out, none)
+    if held and index.held is not None:
+        return df.withColumn(out, F.coalesce(_held_candidates(text, index.held, kind), none))
     own = F.sha2(text, 256)
     texts = df.select(own.alias("_text_key"), text.alias("_text")).where("_text is not null")
     texts = texts.groupBy("_text_key").agg(F.first("_text").alias("_text"))
     pairs = texts.select("_text_key", F.explode(_keys_in(F.col("_text"), index.lengths)).alias("_key"))
     met = left_join_dimension(pairs, index.entries, "_key", F.col("_text_key"), "inner", **join)
-    found = met.groupBy("_text_key").agg(F.array_sort(F.collect_set(F.struct(*fields))).alias(out))
+    found = met.groupBy("_text_key").agg(F.array_sort(F.collect_set(F.struct(*FIELDS))).alias(out))
     # rows without a text find nothing; numbers keep them from meeting in one task
     apart = F.concat(F.lit("n"), F.monotonically_increasing_id().cast("string"))
     keyed = df.withColumn("_text_key", F.coalesce(own, apart))

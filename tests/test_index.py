@@ -96,3 +96,21 @@ def test_tokens_of_any_number(spark):
     )
     one = spark.createDataFrame([(1, "@h19999 tok5q @nobody")], "id int, text string")
     assert with_group_tokens(one, "text", many, "out").first().out == "@tok19999q @tok5q @USER"
+
+
+def test_few_entries_move_no_text(spark):
+    """An index that tasks can hold finds the candidates that the joins find, without a shuffle of the texts."""
+    listed = ["a", "mal", r"\bmalo", "x|y", "ñandú", "😀😀x", "w*", "zz zz", "canalla(?:s|da)?", "árbol é", "mal"]
+    rows = [("l", i if i != 4 else None, p, None if i % 3 else f"n{i}") for i, p in enumerate(listed)] + [("l", 1, "mal", None)]
+    index = pattern_index.pattern_index(spark.createDataFrame(rows, "list string, ord bigint, pattern string, name string"))
+    rng = random.Random(5)
+    texts = ["", None, "😀😀x", "😀", "zz z", "zz zz", "un árbol é", "árbol e", "ma", "l canallas", "x" * (1 << 20) + "ñandú", "ñand", "ú"]
+    texts += ["".join(rng.choice("malox ñú😀zé") for _ in range(rng.randrange(40))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    near = pattern_index.attach_candidates(df, F.col("text"), index, "found")
+    far = pattern_index.attach_candidates(df, F.col("text"), index, "found", held=False)
+    a, b = ({r.id: r.found for r in d.select("id", "found").collect()} for d in (near, far))
+    assert a == b and a[1] == [] and len(a[10]) > len(a[0]) > 0 and near.schema["found"].dataType == far.schema["found"].dataType
+    assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+    finder = pattern_index.KeyFinder(["ab".encode(), "abcdefghij".encode(), "abcdefghik".encode(), "b".encode()])
+    assert finder.find([b"xab", b"abcdefghi", b"j abcdefghij", b"", b"a", b"b"]) == [{0, 3}, {0, 3}, {0, 1, 3}, set(), set(), {3}]
