@@ -12,10 +12,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def parked(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later stages survive lost executors and read no more than they need."""
+def parked(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: later stages survive lost executors and read no more than they need.
+    ``codec`` in place of the session's: zstd is slower to write and takes less disk."""
     path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -40,6 +40,7 @@ class RunIndex:
         target[by_symbol] = earlier - offset[symbols[by_symbol]]
         self.first, self.target = first, target + np.where(symbols < NONE, below[np.minimum(symbols, 255)], 0)
         self.last_at = order[first + sizes - 1] if n else order  # sampled run ends
+        self.run_of = np.repeat(np.arange(len(first), dtype=np.int32), sizes)  # directory of the runs by row
         self._intervals(order, equal, owner)
 
     def _sorted(self, data: np.ndarray, inside: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,21 +48,28 @@ class RunIndex:
         n, place = len(data), np.arange(len(data))
         stop = self.stop[owner]
         padded = np.concatenate((np.where(inside, data + 1, 0), np.zeros(FIRST, np.int64)))
-        key = np.zeros(n, np.int64)
+        key, left = np.zeros(n, np.int64), stop - place
         length = min(FIRST, self.depth)
         for j in range(length):
-            key = key * 257 + np.where(place + j < stop, padded[j : n + j], 0)
-        rank = _ranks(key)
+            key *= 257
+            key += padded[j : n + j] * (left > j)
+        rank, tied = _ranks(key)
         self.half, equal = 1, None
         while True:
             if length <= self.depth:
                 self.half, equal = length, rank
-            # where a suffix ends within what is compared already, its string decides
-            beyond = place + length
-            after = np.where(beyond >= stop, owner, self.m + rank[np.minimum(beyond, max(n - 1, 0))])
-            if not n or rank.max() == n - 1:
+            if not len(tied):
                 break
-            rank = _ranks(rank * (n + self.m + 1) + after)
+            # only suffixes that are not told apart yet are sorted again; where one ends within what is compared already, its string decides
+            beyond = tied + length
+            after = np.where(beyond >= stop[tied], owner[tied], self.m + rank[np.minimum(beyond, n - 1)])
+            group = rank[tied]
+            finer, still = _ranks(group * (n + self.m + 1) + after)
+            # places in ``finer`` begin at 0, those of a group at its rank
+            sizes = np.bincount(group, minlength=n)
+            now = rank.copy()
+            now[tied] = group + finer - (np.cumsum(sizes) - sizes)[group]
+            rank, tied = now, tied[still]
             length *= 2
         order = np.empty(n, np.int64)
         order[rank] = place
@@ -81,7 +89,7 @@ class RunIndex:
 
     def back(self, rows: np.ndarray) -> np.ndarray:
         """The rows of the suffixes that are one symbol longer. Rows of whole strings have none."""
-        run = np.searchsorted(self.first, rows, "right") - 1
+        run = self.run_of[rows]
         return self.target[run] + rows - self.first[run]
 
     def place(self, row: int) -> int:
@@ -116,11 +124,15 @@ class RunIndex:
         return np.concatenate(places or empty), np.concatenate(numbers or empty)
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks: equal keys have equal ones. With all different they are 0 to n - 1."""
-    order = np.argsort(keys, kind="stable")
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many keys are smaller than each, and the places of the keys that are there more than once."""
+    order = np.argsort(keys)  # equal keys get one rank, so their order is free, and the unstable sort is several times faster
     ordered = keys[order]
-    last = np.flatnonzero(np.concatenate((ordered[1:] != ordered[:-1], [True]))) if len(keys) else order
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(keys) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    size = np.diff(np.concatenate((first, [len(keys)])))
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.repeat(np.arange(len(last)), np.diff(np.concatenate(([-1], last))))
-    return rank
+    rank[order] = np.repeat(first, size)
+    several = np.zeros(len(keys), bool)
+    several[order] = np.repeat(size > 1, size)
+    return rank, np.flatnonzero(several)

@@ -29,16 +29,20 @@ INDEX_BYTES = 2 << 20  # of a run-length index, about
 BATCH_ROWS = 1 << 15  # segments sent on at once, about
 LAST = (1 << 63) - 1  # null ids come after all others
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+_HELD = 1 << 16  # powers kept between texts; a longer text has its own
+_powers, _held_inverses = powers(_HELD), np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(_HELD - 1, _INVERSE))))
 
 
 def _prefix(data: np.ndarray) -> np.ndarray:
     """Sums of byte codes times powers of BASE, one more than there are bytes."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * powers(len(data)), out=sums[1:])
+    np.cumsum(BYTE_CODES[data] * (_powers[: len(data)] if len(data) <= _HELD else powers(len(data))), out=sums[1:])
     return sums
 
 
 def _inverses(n: int) -> np.ndarray:
+    if 0 < n <= _HELD:
+        return _held_inverses[:n]
     out = np.full(max(n, 1), _INVERSE, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
@@ -61,38 +65,76 @@ def grams_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, _spread(hashes, GRAMS, np.minimum), sums
 
 
-def anchors(data: np.ndarray) -> np.ndarray:
-    """Hashes of the grams that are the least of some place, each as often as it stands in the text."""
-    hashes, least, _ = grams_of(data)
+def _whole(least: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which places lie within one of the texts that end at ``ends``; the anchors of the others become 0."""
+    whole = np.ones(len(least), bool)
+    for end in ends[:-1].tolist():
+        whole[max(end - DEPTH + 1, 0) : end] = False
+    least[~whole] = 0
+    return whole
+
+
+def _at_anchors(hashes: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Where the grams stand that are the least of some place."""
     around = np.concatenate((np.zeros(GRAMS - 1, np.uint64), least, np.zeros(GRAMS - 1, np.uint64)))
-    return hashes[hashes == _spread(around, GRAMS, np.maximum)]
+    return np.flatnonzero(hashes == _spread(around, GRAMS, np.maximum))
+
+
+def anchors(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the grams that are the least of some place, each as often as it stands in the texts. ``data`` holds texts of DEPTH
+    bytes at least, laid end to end; ``ends`` tells where each ends."""
+    hashes, least, _ = grams_of(data)
+    _whole(least, ends)
+    return hashes[_at_anchors(hashes, least)]
 
 
-def segments(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """anchor, start, length, hash, and whether the anchor stands in it more than once, of all segments of a text."""
+def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """text number, anchor, start in the text, length, hash, and whether the anchor stands in it more than once, of all segments of texts
+    that are laid end to end."""
     hashes, least, sums = grams_of(data)
-    start = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    stop = np.concatenate((start[1:], [len(least)])) - 1 + DEPTH
+    whole = _whole(least, ends)
+    same = (least[1:] == least[:-1]) & whole[1:] & whole[:-1]
+    start = np.flatnonzero(whole & np.concatenate(([True], ~same)))
+    stop = np.flatnonzero(whole & np.concatenate((~same, [True]))) + DEPTH
     anchor = least[start]
     content = mixed((sums[stop] - sums[start]) * _inverses(len(data) + 1)[start] + (stop - start).astype(np.uint64))
     # grams that are anchors, counted by segment
-    around = np.concatenate((np.zeros(GRAMS - 1, np.uint64), least, np.zeros(GRAMS - 1, np.uint64)))
-    at = np.flatnonzero(hashes == _spread(around, GRAMS, np.maximum))
+    at = _at_anchors(hashes, least)
     values, rank = np.unique(hashes[at], return_inverse=True)
-    width = len(data) + 1
-    keys = np.sort(rank * width + at)
-    own = np.searchsorted(values, anchor) * width
-    several = np.searchsorted(keys, own + stop - GRAM, "right") - np.searchsorted(keys, own + start) > 1
-    return anchor, start, stop - start, content, several
+    several = np.zeros(len(start), bool)
+    if len(values) < len(at):
+        width = len(data) + 1
+        keys = np.sort(rank * width + at)
+        own = np.searchsorted(values, anchor) * width
+        several = np.searchsorted(keys, own + stop - GRAM, "right") - np.searchsorted(keys, own + start) > 1
+    text = np.searchsorted(ends, start, "right")
+    return text, anchor, start - np.concatenate(([0], ends))[text], stop - start, content, several
 
 
 def _bytes(value) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint8)
 
 
+def _together(column: pa.Array) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Row numbers, bytes and ends of texts of DEPTH bytes or more, as many at a time as the held powers last."""
+    rows, held, size = [], [], 0
+    for row, t in enumerate(column):
+        data = _bytes(t)
+        if len(data) < DEPTH:
+            continue
+        if held and size + len(data) >= _HELD:
+            yield rows, np.concatenate(held), np.cumsum([len(d) for d in held])
+            rows, held, size = [], [], 0
+        rows.append(row)
+        held.append(data)
+        size += len(data)
+    if held:
+        yield rows, np.concatenate(held), np.cumsum([len(d) for d in held])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [anchors(d) for t in batch.column("t") if len(d := _bytes(t)) >= DEPTH]
+        found = [anchors(data, ends) for _, data, ends in _together(batch.column("t"))]
         values, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["anchor", "n"])
 
@@ -109,14 +151,11 @@ def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, rows = [], 0
     for batch in batches:
         docs, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
-        for doc, tie, t in zip(docs, ties, batch.column("t")):
-            data = _bytes(t)
-            if len(data) < DEPTH:
-                continue
-            anchor, start, length, content, several = segments(data)
-            n = len(anchor)
-            held.append((np.full(n, doc), np.full(n, tie), anchor.view(np.int64), start, length, content.view(np.int64), several))
-            rows += n
+        for numbers, data, ends in _together(batch.column("t")):
+            text, anchor, start, length, content, several = segments(data, ends)
+            of = np.array(numbers)[text]
+            held.append((docs[of], ties[of], anchor.view(np.int64), start, length, content.view(np.int64), several))
+            rows += len(of)
             if rows >= BATCH_ROWS:
                 yield answer(held)
                 held, rows = [], 0
@@ -143,21 +182,35 @@ _PIECE = "block long, doc long, tie long, start long, bytes binary, crowded bool
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [p.split()[0] for p in _PIECE.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+
+    def answer(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    out, size = [], 0
     for batch in batches:
+        wanted = batch.column("wanted")
+        asked = wanted.flatten()
+        starts, lengths, anchor, crowded = (asked.field(asked.type.get_field_index(f)).to_pylist() for f in ("start", "length", "anchor", "crowded"))
+        at = np.concatenate(([0], np.cumsum(wanted.value_lengths().to_numpy(zero_copy_only=False)))).tolist()
+        docs, ties = batch.column("doc").to_pylist(), batch.column("tie").to_pylist()
         for row, t in enumerate(batch.column("t")):
-            data = _bytes(t)
-            doc, tie = batch.column("doc")[row].as_py(), batch.column("tie")[row].as_py()
-            out = []
-            for s in batch.column("wanted")[row].as_py():
-                start, stop = s["start"], s["start"] + s["length"]
-                if s["crowded"]:
-                    out += [(b, start + i, data[start + i : start + j].tobytes(), True) for b, i, j in _finer(data[start:stop], s["anchor"])]
+            data, doc, tie = _bytes(t), docs[row], ties[row]
+            for i in range(at[row], at[row + 1]):
+                start, stop = starts[i], starts[i] + lengths[i]
+                if crowded[i]:
+                    found = _finer(data[start:stop], anchor[i])
+                    new = [(b, doc, tie, start + f, data[start + f : start + a].tobytes(), True) for b, f, a in found]
                 else:
-                    out.append((s["anchor"], start, data[start:stop].tobytes(), False))
-            blocks, starts, values, crowded = zip(*out) if out else ((), (), (), ())
-            columns = [pa.array(blocks, pa.int64()), pa.array([doc] * len(out), pa.int64()), pa.array([tie] * len(out), pa.int64())]
-            columns += [pa.array(starts, pa.int64()), pa.array(values, pa.binary()), pa.array(crowded, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[p.split()[0] for p in _PIECE.split(", ")])
+                    new = [(anchor[i], doc, tie, start, data[start:stop].tobytes(), False)]
+                out += new
+                size += sum(len(n[4]) for n in new)
+            if size >= INDEX_BYTES:
+                yield answer(out)
+                out, size = [], 0
+    if out:
+        yield answer(out)
 
 
 def repeats_in(strings: list[np.ndarray], doc: np.ndarray, tie: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -238,10 +291,10 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     known = texts.mapInArrow(_count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     known = parked(known, "anchors")
     found = passing(texts.mapInArrow(_segment, _SEGMENT), "anchor", known.withColumnRenamed("anchor", "key"))
-    found = parked(found.join(known, "anchor", "left_semi"), "segments")
+    found = parked(found.join(known, "anchor", "left_semi"), "segments", "zstd")
     same = ["anchor", "content", "length"]
     distinct = found.groupBy(*same).agg(F.min(F.struct("doc", "tie", "start")).alias("f"), F.max("several").alias("several"), F.count("*").alias("n"))
-    distinct = parked(distinct, "distinct")
+    distinct = parked(distinct, "distinct", "zstd")
 
     # all but the earliest of equal segments repeat whole
     copied = distinct.where("n > 1").select(*[F.col(c).alias(f"_{c}") for c in same], "f")
@@ -256,7 +309,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     wanted = distinct.join(crowd.select("anchor", (F.col("variants") > CROWDED).alias("crowded")), "anchor")
     wanted = wanted.select("f.doc", "f.tie", F.struct(F.col("f.start").alias("start"), "length", "anchor", "crowded").alias("s"))
     wanted = wanted.groupBy("doc", "tie").agg(F.collect_list("s").alias("wanted"))  # of one text
-    pieces = parked(texts.join(wanted, ["doc", "tie"]).mapInArrow(_cut, _PIECE), "pieces")
+    pieces = parked(texts.join(wanted, ["doc", "tie"]).mapInArrow(_cut, _PIECE), "pieces", "zstd")
     plain = pieces.where("not crowded").select("block", "doc", "tie", "start", "bytes")
     crowded = pieces.where("crowded").groupBy("block", "bytes").agg(F.min(F.struct("doc", "tie", "start")).alias("f"), F.count("*").alias("n"))
     crowded = parked(crowded, "crowded")
@@ -281,7 +334,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     firsts = parked(narrow.groupBy("key").agg(F.min("doc").alias("doc")), "firsts")
     # one row of every different text, at its least id
     texts = rows.join(firsts, ["key", "doc"]).dropDuplicates(["key", "doc"])
-    texts = parked(texts.select("doc", "key", F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("t")), "first-texts")
+    texts = parked(texts.select("doc", "key", F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("t")), "first-texts", "zstd")
     ranges = repeated_ranges(texts.select("doc", "tie", "t"))
     ranges = ranges.groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "stop")).alias("ranges"))  # of one text
     kept = texts.join(ranges, ["doc", "tie"], "left").select("doc", "key", "t", "ranges")
