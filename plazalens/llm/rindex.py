@@ -26,7 +26,9 @@ class RunIndex:
         if self.m:
             data[inside] = np.concatenate(strings)
         order, equal = self._sorted(data, inside, owner)
-        before = np.where(np.isin(order, self.begin), NONE, data[order - 1]) if n else data
+        symbol = np.concatenate((np.zeros(1, np.int64), data[:-1])) if n else data
+        symbol[self.begin] = NONE
+        before = symbol[order]
         # runs: first rows, symbols, and the row that the first one's suffix has when its symbol is put in front
         first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1]))) if n else np.zeros(0, np.int64)
         sizes = np.diff(np.concatenate((first, [n])))
@@ -39,6 +41,7 @@ class RunIndex:
         target = np.empty(len(first), np.int64)
         target[by_symbol] = earlier - offset[symbols[by_symbol]]
         self.first, self.target = first, target + np.where(symbols < NONE, below[np.minimum(symbols, 255)], 0)
+        self.shift = self.target - first
         self.last_at = order[first + sizes - 1] if n else order  # sampled run ends
         self.run_of = np.repeat(np.arange(len(first), dtype=np.int32), sizes)  # directory of the runs by row
         self._intervals(order, equal, owner)
@@ -52,7 +55,14 @@ class RunIndex:
         length = min(FIRST, self.depth)
         for j in range(length):
             key *= 257
-            key += padded[j : n + j] * (left > j)
+            key += padded[j : n + j]
+        # what is behind a string's end doesn't count
+        near = np.flatnonzero(left < length)
+        cut = np.zeros(len(near), np.int64)
+        for j in range(length):
+            cut *= 257
+            cut += padded[near + j] * (left[near] > j)
+        key[near] = cut
         rank, tied = _ranks(key)
         self.half, equal = 1, None
         while True:
@@ -85,12 +95,14 @@ class RunIndex:
             same[1:n] = fits[1:] & fits[:-1]
             for p in parts:
                 same[1:n] &= p[1:] == p[:-1]
-        self.opens, self.closes = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+        opening = ~same[:-1] & same[1:]
+        self.opens, self.closes = np.flatnonzero(opening), np.flatnonzero(same[:-1] & ~same[1:])
+        # directory of the intervals by row
+        self.interval_of = np.where(same[:-1] | same[1:], np.cumsum(opening, dtype=np.int32) - np.int32(1), np.int32(-1))
 
     def back(self, rows: np.ndarray) -> np.ndarray:
         """The rows of the suffixes that are one symbol longer. Rows of whole strings have none."""
-        run = self.run_of[rows]
-        return self.target[run] + rows - self.first[run]
+        return self.shift[self.run_of[rows]] + rows
 
     def place(self, row: int) -> int:
         """Text place of a row: back steps to a sampled run end (or a string's begin) and their number."""
@@ -112,14 +124,15 @@ class RunIndex:
         order = np.argsort(-lengths, kind="stable")  # those still going on are in front
         rows, lengths = order.copy(), lengths[order]
         places, numbers = [], []
+        falling = -lengths
         for step in range(1, int(lengths[0]) + 1 if self.m else 0):
-            n = int(np.searchsorted(-lengths, -step, "right"))
+            n = int(np.searchsorted(falling, -step, "right"))
             rows = self.back(rows[:n])
             if step >= self.depth and len(self.opens):
-                k = np.searchsorted(self.opens, rows, "right") - 1
-                hit = np.flatnonzero((k >= 0) & (rows <= self.closes[k]))
+                k = self.interval_of[rows]
+                hit = np.flatnonzero(k >= 0)
                 places.append(self.stop[order[hit]] - step)
-                numbers.append(k[hit])
+                numbers.append(k[hit].astype(np.int64))
         empty = [np.zeros(0, np.int64)]
         return np.concatenate(places or empty), np.concatenate(numbers or empty)
 
