@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 from collections import Counter
 
 import pytest
@@ -249,3 +250,23 @@ def test_posts_without_id_find_their_seeds(spark, literal_rows):
     found = df.select("id", test.is_female(handle), test.is_male(handle), test.is_seed_id(F.col("account"))).collect()
     expected = [(None, True, False, False), (None, False, True, True), (None, None, None, None), (None, None, None, True), ("1", True, False, None), (None, True, False, False)]
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_lookups_stay_where_the_rows_are(spark):
+    """Rows of any number of keys: few are looked up in place, many by joins on the row, with one result and no shuffle of the first."""
+    handles = [f"h{i}" for i in range(0, 40, 2)]
+    dim = spark.createDataFrame([(h, i) for i, h in enumerate(handles)], "k string, v int")
+    r = random.Random(3)
+    rows = [(None if n % 9 == 0 else str(n % 50), [r.choice([None, *(f"h{i}" for i in range(40))]) for _ in range(n % 12)]) for n in range(200)]
+    df = spark.createDataFrame([*rows, ("x", None), (None, None), (None, [None])], "id string, keys array<string>")
+    # an id stands for one row
+    df = df.withColumn("id", F.when(F.col("id").isNotNull(), F.concat("id", F.lit("-"), F.monotonically_increasing_id().cast("string"))))
+    said = {h: i for i, h in enumerate(handles)}
+    for some in (dims.BROADCAST_ROWS, 0):
+        found = dims.attach_lookup(df, "id", F.col("keys"), dim, "k", "v", "m", broadcast_rows=some)
+        assert found.columns == ["id", "keys", "m"] and found.count() == 203
+        for row in found.collect():
+            assert (row["m"] or {}) == {k: said[k] for k in row["keys"] or [] if k in said}
+    short = df.where(F.size("keys") <= dims.SLOTS)
+    placed = dims._lookup_in_place(short.withColumn("_keys", F.array_distinct(F.array_compact("keys"))), dim, "k", "v", "m")
+    assert "hashpartitioning" not in placed._jdf.queryExecution().executedPlan().toString()
