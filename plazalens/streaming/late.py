@@ -44,8 +44,8 @@ def count_batch(
     none = F.lit("none").alias("period")
     change.append(SOURCES, rows.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("posts")).select("*", none))
     periods = periods_of(rows)
-    once = change.scratch(drop_repeated_posts(rows.drop(source)), "once")
-    fresh = change.scratch(unseen(store, once, periods), "fresh")
+    once = drop_repeated_posts(rows.drop(source))
+    fresh = change.scratch(unseen(store, once, periods, rows), "fresh")
     # the summary tells retweets by the author they repeat
     facts = fresh.select("datetime", F.when(F.col("is_rt"), "rt").alias("rt_from_user_id"), "abuse", "insults_name", F.col(seed).alias("f_seed"))
     counts = mentions_abuse_of_posts(facts, influencers)

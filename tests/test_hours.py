@@ -183,6 +183,21 @@ def test_seen_ids(spark, tmp_path, monkeypatch, bits):
     assert maybe >= 201 and (maybe < 220 or bits == 1 << 15)
 
 
+def test_posts_are_written_once_before_they_are_counted(spark, tmp_path):
+    """Repeats within a batch and across batches, copies in two periods: known by the kept copy's period, and no table of the deduplicated
+    posts is written on the way."""
+    influencers = spark.createDataFrame([("ana", "ana")], "mention string, influencer_id string")
+    schema = "id string, ts timestamp, is_rt boolean, abuse int, f_seed array<string>, insults_name array<string>, source string"
+    batches = [[("1", 3), ("1", 3), (None, 3), (None, 3)], [("1", 3), ("2", 4), ("2", 5), ("2", 4), (None, 3)], [("2", 5), ("3", 5)]]
+    for n, batch in enumerate(batches):
+        rows = [(i, f"2022-10-26 {h:02}:30:00", False, 0, ["ana"], None, f"b{n}") for i, h in batch]
+        texts = spark.createDataFrame(rows, schema.replace("timestamp", "string"))
+        late.count_batch(texts.withColumn("ts", F.col("ts").cast("timestamp")), influencers, str(tmp_path))
+    counts = {r["Hour"].hour: r["N_mentions"] for r in late.hour_counts(spark, str(tmp_path)).collect()}
+    assert counts == {3: 4, 4: 1, 5: 2}
+    assert not (tmp_path / "scratch" / "once").exists()
+
+
 def test_untouched_hours_are_not_rewritten(spark, tmp_path):
     store = hours.HourStore(spark, str(tmp_path))
     for rows in ([("a", 1, "h1"), ("b", 2, "h2")], [("a", 5, "h1"), ("c", 1, "h1")]):
