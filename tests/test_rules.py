@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plazalens.operators import capture, classify, dedup, dims, flatten, insults, seeds, summaries
 from plazalens.operators.dictionary import compile_dictionary, pattern_map, without_category
-from plazalens.plans import hour_load, hourly
+from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.plans.dimensions import load_dimensions
 from plazalens.schemas import SEEDS, SUMMARIES, TIDY
 from plazalens.sinks import jdbc, tables
@@ -139,6 +139,29 @@ def test_salted_join_keeps_every_row(spark):
     assert salted.exceptAll(plain).count() == plain.exceptAll(salted).count() == 0
 
 
+def test_long_dimensions_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """However small Spark takes the sides for: here both are a few bytes, which it would broadcast."""
+
+    def broadcasts(df):
+        df.collect()
+        return "Broadcast" in df._jdf.queryExecution().executedPlan().toString()
+
+    facts, dim = spark.range(30).withColumn("k", F.col("id") % 5), spark.range(4).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    for spread, how in ((F.col("id"), "left"), (F.col("id"), "inner"), (None, "left"), (None, "inner")):
+        joined = dims.left_join_dimension(facts, dim, "k", spread, how, broadcast_rows=3)
+        assert not broadcasts(joined) and joined.count() == (30 if how == "left" else 24)
+        assert broadcasts(dims.left_join_dimension(facts, dim, "k", spread, how, broadcast_rows=4))
+
+    spark.range(6).selectExpr("id p_partkey", "'t' || id p_type", "'b' || id p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    items = "id l_orderkey, id % 6 l_partkey, 'R' l_returnflag, 30.0 l_quantity"
+    spark.range(9).selectExpr(*items.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for parts, held in ((6, True), (5, False)):
+        monkeypatch.setattr(stand_in, "HELD_PARTS", parts)
+        for name in ("ins", "hsh"):
+            view = stand_in.view(spark, str(tmp_path), name)
+            assert broadcasts(view) == held and view.count() == 9
+
+
 def test_dedup_keeps_one_copy(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5), (None, 7), (None, 7)], "id string, n int")
     rows = sorted(map(tuple, dedup.drop_repeated_posts(df).collect()), key=str)
