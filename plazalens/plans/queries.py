@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from plazalens.functions import find, handles, scores, text, times
-from plazalens.operators import bridges, capture, classify, dedup, dictionary, flatten, insults, pattern_index, seeds, summaries, word_model
+from plazalens.operators import bridges, capture, classify, dedup, dictionary, dims, flatten, insults, pattern_index, seeds, summaries, word_model
 from plazalens.plans import hour_load, hourly, stand_in
 from plazalens.schemas import FLAT_POST, SUMMARIES
 from plazalens.session import shared_dir
@@ -450,7 +450,9 @@ def classify_words(spark, sf):
     """The word model, fitted and applied on the same cleaned text."""
     (labels,) = stand_in.load(spark, sf, "labels")
     cleaned = stand_in.settle(_texts(spark, sf).select("id", text.clean_model_text(F.col("text"), "xml").alias("text")), "cleaned")
-    labelled = cleaned.join(labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")), "id")
+    labels = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    # few labels go to the texts, which then needn't move
+    labelled = cleaned.join(F.broadcast(labels) if dims.at_most(labels, dims.BROADCAST_ROWS) else labels, "id")
     return word_model.classify_words(cleaned, word_model.fit_word_model(labelled)).select("id", "abuse")
 
 

@@ -205,9 +205,10 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, as the hourly run does between its stages."""
+    """``df`` written to the shared folder and read back, as the hourly run does between its stages. Texts are packed well, as they are
+    written once and lie there as long as the query runs."""
     folder = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.parquet(folder)
 
 

@@ -139,3 +139,27 @@ def test_word_model(spark, monkeypatch):
         assert sorted(map(tuple, word_model.classify_words(posts, model).collect()), key=str) == expected
     alone = word_model.fit_word_model(spark.createDataFrame(rows[:2], "text string, label int"))
     assert {r["abuse"] for r in word_model.classify_words(posts, alone).collect()} == {0, None}
+
+
+@pytest.mark.parametrize("common_words, moved", [(0, 4), (3, 4), (4, 1)])
+def test_common_words_stay_with_their_text(spark, monkeypatch, common_words, moved):
+    """However many words are common, the classes are the same; only the others are rows of the join, and a text has one for all common ones."""
+    from plazalens.operators import dims, word_model
+
+    rows = [("bad bad bad dog", 1), ("bad cat", 1), ("good dog", 0), ("good cat", 0), ("nice", 0)]
+    model = word_model.fit_word_model(spark.createDataFrame(rows, "text string, label int"))
+    met = []
+
+    def join(facts, dim, *more, **named):
+        met.append(facts.where("n > 0").count())
+        return dims.left_join_dimension(facts, dim, *more, **named, broadcast_rows=0)
+
+    monkeypatch.setattr(word_model, "left_join_dimension", join)
+    posts = spark.createDataFrame([(1, "bad bad good dog cat dog"), (2, "bad bad good dog cat dog")], "id long, text string")
+    weight = {r["word"]: r["weight"] for r in model.weights.collect()}
+    score = 2 * weight["bad"] + weight["good"] + 2 * weight["dog"] + weight["cat"] + model.prior
+    found = word_model.classify_words(posts, model, common_words=common_words)
+    assert {r["abuse"] for r in found.collect()} == {int(score > 0)} and met == [moved]
+    alone = spark.createDataFrame([(1, "bad"), (2, "good"), (3, "nice nice"), (4, " unseen "), (5, "  "), (6, None)], "id long, text string")
+    got = {r["id"]: r["abuse"] for r in word_model.classify_words(alone, model, common_words=common_words).collect()}
+    assert got == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: None}
