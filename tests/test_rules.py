@@ -152,6 +152,14 @@ def test_long_dimensions_are_never_broadcast(spark, tmp_path, monkeypatch):
         assert not broadcasts(joined) and joined.count() == (30 if how == "left" else 24)
         assert broadcasts(dims.left_join_dimension(facts, dim, "k", spread, how, broadcast_rows=4))
 
+    plain = facts.join(dim, "k", "left")
+    for copies, salts in ((1000, dims.SALTS), (8, 2), (7, 1), (0, 1)):
+        monkeypatch.setattr(dims, "COPIES", copies)
+        joined = dims.left_join_dimension(facts, dim, "k", F.col("id"), broadcast_rows=0)
+        copied = [n for n in joined._jdf.queryExecution().analyzed().toString().splitlines() if "explode" in n]
+        assert len(copied) == (salts > 1) and all(f"sequence(0, {salts - 1}," in n for n in copied)
+        assert joined.exceptAll(plain).count() == plain.exceptAll(joined).count() == 0
+
     spark.range(6).selectExpr("id p_partkey", "'t' || id p_type", "'b' || id p_brand").write.parquet(f"{tmp_path}/part.parquet")
     items = "id l_orderkey, id % 6 l_partkey, 'R' l_returnflag, 30.0 l_quantity"
     spark.range(9).selectExpr(*items.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
